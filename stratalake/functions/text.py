@@ -51,4 +51,7 @@ def batch_time(batch: Column) -> Column:
 
 def month_key(city: Column, year: Column, month: Column, prefix: str) -> Column:
     """Object key of one city-month document."""
-    return F.format_string(f"{prefix}/city=%s/year=%d/%02d.json", slug(city), year, month)
+    padded = F.lpad(month.cast("string"), 2, "0")
+    return F.concat(
+        F.lit(f"{prefix}/city="), slug(city), F.lit("/year="), year.cast("string"), F.lit("/"), padded, F.lit(".json")
+    )

@@ -33,11 +33,12 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The row with the greatest ``order`` value of each key.
 
     An aggregate and not a window: rows are reduced before the shuffle, so no
-    task ever holds all copies of a key.
+    task ever holds all copies of a key. Equal ``order`` values are settled by
+    the other columns, in every run alike.
     """
-    others = [c for c in df.columns if c not in keys]
-    row = F.struct(*others)
-    return df.groupBy(*keys).agg(F.max_by(row, F.col(order)).alias("last")).select(*keys, "last.*")
+    others = [c for c in df.columns if c not in (*keys, order)]
+    row = F.struct(order, *others)
+    return df.groupBy(*keys).agg(F.max(row).alias("last")).select(*keys, "last.*")
 
 
 def monthly_documents(days: DataFrame, run: Run, source: str = DOCUMENT_SOURCE) -> DataFrame:

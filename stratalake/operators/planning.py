@@ -14,9 +14,13 @@ from .nesting import DOCUMENT_PREFIX
 def month_plan(cities: DataFrame, start_month: str, end_month: str, prefix: str = DOCUMENT_PREFIX) -> DataFrame:
     """Wanted documents: every city for every month from ``yyyy-MM`` to ``yyyy-MM``.
 
-    The months are spread per city row, so the work divides over the cities.
+    The months are spread per city row. A city row is tiny and becomes one row
+    per month, so the cities are first dealt out over all shuffle partitions: a
+    single block of the city table would otherwise make every plan row of many
+    million cities in one task.
     """
-    bounded = cities.select(
+    tasks = int(cities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounded = cities.repartition(tasks, "city").select(
         "city",
         F.to_date(F.lit(f"{start_month}-01")).alias("low"),
         F.to_date(F.lit(f"{end_month}-01")).alias("high"),

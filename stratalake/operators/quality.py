@@ -103,14 +103,28 @@ def broken_rules(rules: Sequence[Rule]) -> Column:
     return F.array_compact(F.array(*[F.when(r.broken(), F.lit(r.name)) for r in rules]))
 
 
+def breaks_any(rules: Sequence[Rule]) -> Column:
+    """Whether a row breaks at least one rule; never null."""
+    return F.expr(" OR ".join(f"coalesce({rule.broken_when}, false)" for rule in rules))
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """Keep the optimizer from moving a rule filter below the derivation of its columns.
+
+    There every rule would parse and score the raw fields again; a row count
+    observed in between makes the filter read the derived columns.
+    """
+    return df.observe("rows_checked", F.count(F.lit(1)))
+
+
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that break a rule, with the names of the rules they break."""
-    return df.withColumn("broken_rules", broken_rules(rules)).filter(F.size("broken_rules") > 0)
+    return _settled(df).filter(breaks_any(rules)).withColumn("broken_rules", broken_rules(rules))
 
 
 def without_broken(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that keep every rule."""
-    return df.filter(F.size(broken_rules(rules)) == 0)
+    return _settled(df).filter(~breaks_any(rules))
 
 
 def outcome_by_key(df: DataFrame, rules: Sequence[Rule], key: str) -> DataFrame:

@@ -334,7 +334,7 @@ def statements() -> dict[str, str]:
             SELECT city, CAST(year(day) AS INT) AS year, CAST(month(day) AS INT) AS month, 'openweathermap' AS source,
                    CAST(count(*) OVER (PARTITION BY city, year(day), month(day)) AS INT) AS record_count,
                    {day("day")} AS date, lat, lon, temp AS temperature, CAST(pressure AS DOUBLE) AS pressure,
-                   CAST(humidity AS DOUBLE) AS humidity, cloud AS cloud_cover, precip AS precipitation
+                   CAST(humidity AS DOUBLE) AS humidity, cloud AS cloud_cover, precip AS precipitation, humidity / 10 AS wind_speed
             FROM readings""",
         "latest_readings": f"""{ev}
             SELECT user_id, event_type, max(event_id) AS event_id, arg_max(value, event_id) AS value,

@@ -328,6 +328,7 @@ def _flat_weather(rows: DataFrame) -> DataFrame:
         F.col("day.humidity.afternoon").alias("humidity"),
         F.col("day.cloud_cover.afternoon").alias("cloud_cover"),
         F.col("day.precipitation.total").alias("precipitation"),
+        F.col("day.wind.max_speed").alias("wind_speed"),
     )
 
 
@@ -432,7 +433,7 @@ def rule_report_weather(spark, sf_dir):
 
 @registered
 def rule_report_raw_weather(spark, sf_dir):
-    """Flat readings with wind and origin fields derived from the day's event."""
+    """Readings in the flat shape of the contract, humidity stretched out of range."""
     readings = roles.weather_readings(roles.events(spark, sf_dir))
     humidity = F.col("humidity.afternoon")
     flat = readings.select(
@@ -448,8 +449,8 @@ def rule_report_raw_weather(spark, sf_dir):
             for part in ("min", "max", "afternoon", "night", "evening", "morning")
         ],
         F.col("pressure.afternoon").alias("pressure_afternoon"),
-        (humidity / 10).alias("wind_max_speed"),
-        (humidity * 4).alias("wind_max_direction"),
+        F.col("wind.max_speed").alias("wind_max_speed"),
+        F.col("wind.max_direction").alias("wind_max_direction"),
         F.lit("openweathermap").alias("source"),
         F.date_format(RUN.timestamp(), TEXT).alias("ingestion_timestamp"),
         F.lit("+00:00").alias("timezone"),

@@ -141,6 +141,7 @@ def weather_readings(ev: DataFrame) -> DataFrame:
         F.struct(k.cast("double").alias("afternoon")).alias("humidity"),
         F.struct(unless(k % 7 == 0, k).alias("afternoon")).alias("cloud_cover"),
         F.struct(F.greatest(F.col("value") - 50, F.lit(0.0)).alias("total")).alias("precipitation"),
+        F.struct((k / 10).alias("max_speed"), (k * 4).cast("double").alias("max_direction")).alias("wind"),
     )
 
 

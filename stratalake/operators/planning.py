@@ -31,9 +31,9 @@ def month_plan(cities: DataFrame, start_month: str, end_month: str, prefix: str
 
 def document_inventory(files: DataFrame, prefix: str = DOCUMENT_PREFIX) -> DataFrame:
     """Keys of the documents already stored, blanks in names written as ``_``."""
-    path = F.translate("path", " ", "_")
-    key = F.concat(F.lit(prefix), F.regexp_extract(path, rf"{prefix}(/city=.*)$", 1))
-    return files.filter(path.contains(f"{prefix}/city=")).select(key.alias("document_key")).distinct()
+    start = f"{prefix}/city="
+    key = F.translate(F.substr("path", F.instr("path", start)), " ", "_")
+    return files.filter(F.col("path").contains(start)).select(key.alias("document_key")).distinct()
 
 
 def missing_documents(plan: DataFrame, inventory: DataFrame) -> DataFrame:

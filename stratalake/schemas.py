@@ -67,6 +67,7 @@ WEATHER_DAY = _struct(
     ("humidity", _struct(("afternoon", _DBL, True)), True),
     ("cloud_cover", _struct(("afternoon", _DBL, True)), True),
     ("precipitation", _struct(("total", _DBL, True)), True),
+    ("wind", _struct(("max_speed", _DBL, True), ("max_direction", _DBL, True)), True),
 )
 
 WEATHER_METADATA = _struct(

@@ -19,7 +19,10 @@ NAMED_FILES = 20_000
 
 
 def list_files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """Paths below a folder; no content is read. A missing folder lists nothing."""
+    """Paths below a folder; no content is read.
+
+    A missing folder lists nothing, and a file of zero bytes counts as not landed.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)

@@ -1,0 +1,225 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.operators.lineage import Run
+from stratalake.operators.planning import freshness, latest_batch_files, latest_files, symbols_to_fetch
+from stratalake.operators.quality import contract_gaps
+from stratalake.plans import bars as plan
+from stratalake.plans import landing
+from stratalake.schemas import SILVER_BARS
+from stratalake.sources import files as sources
+
+RUN = Run("batch", dt.datetime(2024, 1, 10, 12))
+HEADER = "timestamp,open,high,low,close,volume"
+GOOD = "2024-01-01,100.0,105.0,95.0,102.0,1000"
+
+
+def drop(root, symbol, stamp, *lines):
+    folder = root / symbol
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / f"{stamp}.csv").write_text("\n".join(lines))
+
+
+def outcomes(result):
+    return {r.ticker: (r.status, r.reason, r.row_count) for r in result.outcomes.collect()}
+
+
+def test_one_bar(spark, tmp_path):
+    drop(tmp_path, "AAPL", "20240102_000000", HEADER, GOOD)
+    result = plan.bars_to_silver(spark, str(tmp_path), run=RUN)
+    assert contract_gaps(result.silver, SILVER_BARS) == []
+    row = result.silver.first()
+    assert (row.ticker, row.trade_date, row.effective_from) == ("AAPL", dt.date(2024, 1, 1), dt.date(2024, 1, 1))
+    assert (row.open_price, row.high_price, row.low_price, row.close_price, row.volume) == (100, 105, 95, 102, 1000)
+    assert (row.completeness_score, row.data_confidence) == (1.0, 1.0)
+    assert row.effective_to is None and row.source_system == "AlphaVantage"
+    assert row.source_file.endswith("AAPL/20240102_000000.csv")
+    assert outcomes(result) == {"AAPL": ("passed", None, 1)}
+
+
+def test_bad_tickers_do_not_stop_the_others(spark, tmp_path):
+    drop(tmp_path, "GOOD", "20240102_000000", HEADER, GOOD, "")
+    drop(tmp_path, "INVALID", "20240102_000000", HEADER, GOOD, ",".join(["invalid"] * 6))
+    drop(tmp_path, "NOCOL", "20240102_000000", "timestamp,open,high,low,close", "2024-01-01,1,2,3,4")
+    drop(tmp_path, "EMPTY", "20240102_000000", HEADER)
+    drop(tmp_path, "BLANK", "20240102_000000", "")  # zero bytes: not listed
+    drop(tmp_path, "ORDER", "20240102_000000", "volume,close,low,high,open,timestamp", "7,4,3,5,2,2024-01-03")
+    result = plan.bars_to_silver(spark, str(tmp_path), run=RUN)
+    assert outcomes(result) == {
+        "GOOD": ("passed", None, 1),
+        "INVALID": ("failed", "open_not_null,high_not_null,low_not_null,close_not_null,volume_not_null", 2),
+        "NOCOL": ("failed", "columns_present,volume_not_null", 1),
+        "EMPTY": ("failed", "no rows", 0),
+        "ORDER": ("passed", None, 1),
+    }
+    rows = {r.ticker: r for r in result.silver.collect()}
+    assert set(rows) == {"GOOD", "ORDER"}
+    ordered = rows["ORDER"]
+    assert (ordered.open_price, ordered.close_price, ordered.volume, ordered.trade_date) == (
+        2.0,
+        4.0,
+        7.0,
+        dt.date(2024, 1, 3),
+    )
+
+
+def test_newest_file_and_allow_list(spark, tmp_path):
+    for symbol in ("AAPL", "MSFT", "GOOGL"):
+        drop(tmp_path, symbol, "20240101_000000", HEADER, GOOD, GOOD)
+        drop(tmp_path, symbol, "20240103_000000", HEADER, GOOD)
+    (tmp_path / "MSFT" / "20240109_000000.txt").write_text("not a table")
+    files = sources.list_files(spark, str(tmp_path))
+    latest = {r.ticker: r.path for r in latest_files(files).collect()}
+    assert sorted(latest) == ["AAPL", "GOOGL", "MSFT"]
+    assert all(p.endswith("20240103_000000.csv") for p in latest.values())
+    result = plan.bars_to_silver(spark, str(tmp_path), tickers=["MSFT", "NONE"], run=RUN)
+    assert outcomes(result) == {"MSFT": ("passed", None, 1)}
+
+
+def test_empty_folder(spark, tmp_path):
+    assert latest_files(sources.list_files(spark, str(tmp_path / "none"))).count() == 0
+    result = plan.bars_to_silver(spark, str(tmp_path / "none"), run=RUN)
+    assert result.silver.count() == 0 and result.outcomes.count() == 0
+
+
+def test_long_file_lists_are_joined(spark, tmp_path, monkeypatch):
+    """Beyond the limit of named files the folder is scanned and joined."""
+    for symbol in ("A", "B", "C"):
+        drop(tmp_path, symbol, "20240101_000000", HEADER, GOOD, GOOD)
+        drop(tmp_path, symbol, "20240103_000000", HEADER, GOOD)
+    named = plan.bars_to_silver(spark, str(tmp_path), run=RUN)
+    monkeypatch.setattr(sources, "NAMED_FILES", 1)
+    joined = plan.bars_to_silver(spark, str(tmp_path), run=RUN)
+    assert outcomes(named) == outcomes(joined)
+    assert sorted(map(str, named.silver.collect())) == sorted(map(str, joined.silver.collect()))
+
+
+def test_a_batch_of_many_files_is_read_whole(spark):
+    paths = [f"r/symbol=X/batch_ts={b}/part-{i}.csv" for b in ("20240101_000000", "20240102_000000") for i in range(3)]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    got = [r.path for r in latest_batch_files(df).collect()]
+    assert sorted(got) == paths[3:]
+
+
+def test_publish_replaces_only_its_tickers(spark, tmp_path):
+    for symbol in ("AAPL", "MSFT"):
+        drop(tmp_path / "in", symbol, "20240101_000000", HEADER, GOOD)
+    target = str(tmp_path / "out")
+    plan.publish_bars(plan.bars_to_silver(spark, str(tmp_path / "in"), run=RUN).silver, target)
+    drop(tmp_path / "in", "MSFT", "20240102_000000", HEADER, GOOD, "2024-01-02,1,2,0.5,1,5")
+    plan.publish_bars(plan.bars_to_silver(spark, str(tmp_path / "in"), ["MSFT"], RUN).silver, target)
+    stored = sources.read_table(spark, target)
+    assert {(r.ticker, r["count"]) for r in stored.groupBy("ticker").count().collect()} == {("AAPL", 1), ("MSFT", 2)}
+
+
+@pytest.mark.parametrize(
+    "stamps, days, force, fresh",
+    [
+        ([], 1, False, None),
+        ([dt.timedelta(days=2)], 1, False, False),
+        ([dt.timedelta(hours=12)], 1, False, True),
+        ([dt.timedelta(days=1)], 1, False, False),
+        ([dt.timedelta(0)], 0, False, False),
+        ([dt.timedelta(days=9), dt.timedelta(hours=1)], 1, False, True),
+        ([dt.timedelta(hours=12)], 1, True, False),
+    ],
+)
+def test_freshness(spark, stamps, days, force, fresh):
+    rows = [(f"b/TEST/{RUN.run_ts - age:%Y%m%d_%H%M%S}.csv",) for age in stamps]
+    files = spark.createDataFrame(rows, "path string")
+    got = [r.fresh for r in freshness(files, RUN.timestamp(), days=days, force_refresh=force).collect()]
+    assert got == ([] if fresh is None else [fresh])
+    wanted = spark.createDataFrame([("TEST",)], "symbol string")
+    todo = symbols_to_fetch(wanted, freshness(files, RUN.timestamp(), days=days, force_refresh=force))
+    assert todo.count() == (0 if fresh else 1)
+
+
+def test_unreadable_stamp_is_not_fresh(spark):
+    files = spark.createDataFrame([("b/T/20240110_110000.csv",), ("b/T/latest.csv",)], "path string")
+    assert freshness(files, RUN.timestamp()).first().fresh is False
+
+
+SERIES = (
+    '{"Meta Data": {"2. Symbol": "IBM"}, "Time Series (Daily)": {'
+    '"2024-01-02": {"1. open": "10.5", "2. high": "11", "3. low": "10", "4. close": "10.75", "5. volume": "123"},'
+    '"2024-01-03": {"1. open": "9.5", "2. high": "9.9", "3. low": "9", "4. close": "9.25", "5. volume": "7"}}}'
+)
+
+
+@pytest.mark.parametrize(
+    "payload, problem",
+    [
+        (SERIES, None),
+        (f"{HEADER}\n{GOOD}\n", None),
+        (f"{HEADER}\r\n{GOOD}\r\n", None),
+        ("Timestamp,Open,High,Low,Close,Volume\n" + GOOD, None),
+        ('{"Error Message": "Invalid API call"}', "no series"),
+        ('{"Time Series (Daily)": {}}', "too short"),
+        ("Invalid API Key\nline", "error message"),
+        ("Error Message: x\nline", "error message"),
+        (HEADER, "too short"),
+        ("a,b,c\n1,2,3", "missing columns"),
+        (f"{HEADER},dividend\n{GOOD},1", "unexpected columns"),
+    ],
+)
+def test_payload_problem(spark, payload, problem):
+    df = spark.createDataFrame([(payload,)], "value string")
+    assert df.select(landing.payload_problem(F.col("value"))).first()[0] == problem
+
+
+def test_payload_rows(spark):
+    df = spark.createDataFrame([("J", SERIES), ("C", f"{HEADER}\n{GOOD}")], "symbol string, value string")
+    got = {(r.symbol, str(r.trade_date)): (r.open, r.close, r.volume) for r in landing.typed_bars(landing.payload_bars(df)).collect()}
+    assert got == {
+        ("J", "2024-01-02"): (10.5, 10.75, 123),
+        ("J", "2024-01-03"): (9.5, 9.25, 7),
+        ("C", "2024-01-01"): (100.0, 102.0, 1000),
+    }
+
+
+@pytest.mark.parametrize(
+    "line, reason",
+    [
+        (GOOD, None),
+        ("x,1.0,2.0,1.0,1.0,5", "timestamp_is_date"),
+        ("2024-01-01,abc,2.0,1.0,1.0,5", "open_is_number"),
+        ("2024-01-01,1.0,2.0,1.0,1.0,5.5", "volume_is_integer"),
+        ("2024-01-01,-1.0,2.0,1.0,1.0,5", "open_not_negative"),
+        ("2024-01-01,1.0,2.0,1.0,1.0,-5", "volume_not_negative"),
+        ("2024-01-01,1.0,2.0,1.0,,5", "close_is_number"),
+    ],
+)
+def test_landed_bar_rules(spark, line, reason):
+    df = spark.createDataFrame([("S", f"{HEADER}\n{GOOD}\n{line}")], "symbol string, value string")
+    result = landing.inspect_payloads(df)
+    row = result.outcomes.first()
+    assert (row.status, row.reason) == (("passed", None) if reason is None else ("failed", reason))
+    assert result.bars.count() == (2 if reason is None else 0)
+
+
+def test_land_payloads(spark, tmp_path):
+    for symbol, text in {"IBM": SERIES, "CSV": f"{HEADER}\n{GOOD}", "ERR": "Invalid API call"}.items():
+        (tmp_path / "in" / symbol).mkdir(parents=True)
+        (tmp_path / "in" / symbol / "payload").write_text(text)
+    target = str(tmp_path / "out")
+    result = landing.land_payloads(spark, str(tmp_path / "in"), target, "20240110_120000")
+    assert {r.symbol: (r.status, r.reason, r.row_count) for r in result.outcomes.collect()} == {
+        "IBM": ("passed", None, 2),
+        "CSV": ("passed", None, 1),
+        "ERR": ("failed", "error message", 0),
+    }
+    standard = plan.bars_to_silver(spark, target, run=RUN)
+    assert outcomes(standard) == {"IBM": ("passed", None, 2), "CSV": ("passed", None, 1)}
+    assert freshness(sources.list_files(spark, target, "*.csv"), RUN.timestamp()).filter("fresh").count() == 2
+
+
+def test_one_bad_payload_fails_the_symbol(spark):
+    rows = [("S", f"{HEADER}\n{GOOD}"), ("S", "Invalid API call"), ("T", f"{HEADER}\n{GOOD}")]
+    result = landing.inspect_payloads(spark.createDataFrame(rows, "symbol string, value string"))
+    assert {r.symbol: (r.status, r.reason) for r in result.outcomes.collect()} == {
+        "S": ("failed", "error message"),
+        "T": ("passed", None),
+    }
+    assert [r.symbol for r in result.bars.collect()] == ["T"]

@@ -79,24 +79,6 @@ def document_days(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("data.metadata").alias("metadata"), F.explode("data.data").alias("day"))
 
 
-def series_bars(payload: Column) -> Column:
-    """Array of bars in a JSON price payload, null if it holds no series.
-
-    All fields stay text: typing is left to the caller's rules.
-    """
-    series = F.from_json(payload, SERIES_TYPE)[SERIES]
-    return F.transform(
-        F.map_entries(series),
-        lambda entry: F.struct(
-            entry["key"].alias("timestamp"),
-            *[
-                F.try_element_at(entry["value"], F.lit(label)).alias(name)
-                for name, label in SERIES_FIELDS.items()
-            ],
-        ),
-    )
-
-
 def text_lines(payload: Column) -> Column:
     return F.split(F.trim(payload, F.lit(" \t\r\n")), "\r?\n")
 
@@ -106,17 +88,56 @@ def header_names(line: Column) -> Column:
     return F.transform(F.split(F.lower(line), ","), lambda name: F.translate(F.trim(name), " ", "_"))
 
 
-def cell(line: Column, names: Column, name: str) -> Column:
-    """Value under a named column of one CSV line, null if the column is absent."""
-    value = F.get(F.split(line, ","), (F.array_position(names, name) - 1).cast("int"))
-    return F.trim(value, F.lit(' "'))
+def header_positions(names: Column) -> list[Column]:
+    """Where each bar column stands in a header, 1-based and 0 if absent.
+
+    Kept as columns beside the header, so a header is parsed once per file and
+    not once per line.
+    """
+    return [F.array_position(names, name).cast("int").alias(f"at_{name}") for name in BAR_COLUMNS]
+
+
+def cell(line: Column, name: str) -> Column:
+    """Text under a bar column of one CSV line, null if the column is absent."""
+    return F.trim(F.get(F.split(line, ","), F.col(f"at_{name}") - 1), F.lit(' "'))
 
 
-def csv_bars(payload: Column) -> Column:
-    """Array of bars in CSV text with a header line, columns found by name."""
-    lines = text_lines(payload)
+def series_of(payload: Column) -> Column:
+    """Map of date to fields in a JSON price payload, null if it holds none."""
+    return F.from_json(payload, SERIES_TYPE)[SERIES]
+
+
+def payload_bars(payloads: DataFrame, key: str = "symbol", payload: str = "value") -> DataFrame:
+    """One row per bar of JSON or CSV payloads, every field still text.
+
+    Both formats leave one explode: a JSON entry as its date and fields, a CSV
+    line as the line. Fields are picked afterwards, row by row.
+    """
+    lines = text_lines(F.col(payload))
     names = header_names(F.get(lines, F.lit(0)))
-    return F.transform(
+    line_items = F.transform(
         F.slice(lines, F.lit(2), F.size(lines)),
-        lambda line: F.struct(*[cell(line, names, name).alias(name) for name in BAR_COLUMNS]),
+        lambda line: F.struct(
+            line.alias("line"),
+            F.lit(None).cast("string").alias("date"),
+            F.lit(None).cast("map<string,string>").alias("fields"),
+        ),
+    )
+    series_items = F.transform(
+        F.map_entries(series_of(F.col(payload))),
+        lambda entry: F.struct(
+            F.lit(None).cast("string").alias("line"), entry["key"].alias("date"), entry["value"].alias("fields")
+        ),
+    )
+    items = payloads.select(
+        key, *header_positions(names), F.explode(F.coalesce(series_items, line_items)).alias("item")
+    )
+    line, fields = F.col("item.line"), F.col("item.fields")
+    return items.select(
+        key,
+        F.coalesce("item.date", cell(line, "timestamp")).alias("timestamp"),
+        *[
+            F.coalesce(F.try_element_at(fields, F.lit(label)), cell(line, name)).alias(name)
+            for name, label in SERIES_FIELDS.items()
+        ],
     )

@@ -12,7 +12,7 @@ from ..functions.scores import filled_ratio
 from ..functions.timefeatures import to_day
 from ..operators.joins import drop_listed, hint_by_size
 from ..operators.lineage import Run, stamp
-from ..operators.nesting import BAR_COLUMNS, cell, header_names
+from ..operators.nesting import BAR_COLUMNS, cell, header_names, header_positions
 from ..operators.planning import latest_batch_files
 from ..operators.quality import Rule, outcome_by_key, stage_and_check
 from ..schemas import SILVER_BARS, select_contract
@@ -51,18 +51,20 @@ def bar_rows(lines: DataFrame) -> DataFrame:
         .withColumn("line_no", F.monotonically_increasing_id())
         .groupBy("path")
         .agg(F.min_by("value", "line_no").alias("header"))
+        .withColumn("names", header_names(F.col("header")))
+        .select("path", "header", *header_positions(F.col("names")))
     )
     located = lines.filter(F.trim("value") != "").join(hint_by_size(headers), "path", "left")
     data = located.filter(F.col("header").isNull() | (F.col("value") != F.col("header")))
-    names = header_names(F.col("header"))
+    found = F.lit(True)
+    for name in BAR_COLUMNS:
+        found = found & (F.col(f"at_{name}") > 0)
     return data.select(
         "ticker",
         F.col("path").alias("source_file"),
-        F.coalesce(F.size(F.array_except(F.array(*map(F.lit, BAR_COLUMNS)), names)) == 0, F.lit(False)).alias(
-            "columns_present"
-        ),
-        cell(F.col("value"), names, "timestamp").alias("timestamp"),
-        *[cell(F.col("value"), names, c).try_cast("double").alias(c) for c in BAR_NUMBERS],
+        F.coalesce(found, F.lit(False)).alias("columns_present"),
+        cell(F.col("value"), "timestamp").alias("timestamp"),
+        *[cell(F.col("value"), c).try_cast("double").alias(c) for c in BAR_NUMBERS],
     )
 
 

@@ -83,6 +83,10 @@ def events_to_silver(
     return staged
 
 
-def publish_events(silver: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "replace") -> None:
+def publish_events(
+    silver: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "replace", rebalance: bool = True
+) -> None:
     """Write by month and type; time order inside each file serves period filters."""
-    write_partitioned(silver, path, EVENT_PARTITIONS, fmt=fmt, mode=mode, sort_by=["event_time"])
+    write_partitioned(
+        silver, path, EVENT_PARTITIONS, fmt=fmt, mode=mode, sort_by=["event_time"], rebalance=rebalance
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import path_key
-from ..operators.nesting import BAR_COLUMNS, csv_bars, header_names, series_bars, text_lines
+from ..operators.nesting import BAR_COLUMNS, header_names, payload_bars, series_of, text_lines
 from ..operators.quality import outcome_by_key, stage_and_check
 from ..session import scratch_path
 from ..sinks.tables import write_bar_files
@@ -23,7 +23,7 @@ ERROR_TEXTS = ("Error Message", "Invalid API call", "Invalid API Key")
 def payload_problem(payload: Column) -> Column:
     """Why a payload cannot hold bars; null if it can."""
     is_json = F.try_parse_json(payload).isNotNull()
-    series = series_bars(payload)
+    series = series_of(payload)
     lines = text_lines(payload)
     names = header_names(F.get(lines, F.lit(0)))
     expected = F.array(*map(F.lit, BAR_COLUMNS))
@@ -41,12 +41,6 @@ def payload_problem(payload: Column) -> Column:
     )
 
 
-def payload_bars(payloads: DataFrame) -> DataFrame:
-    """Bars as text fields from ``symbol, value`` payloads of either format."""
-    bars = F.coalesce(series_bars(F.col("value")), csv_bars(F.col("value")))
-    return payloads.select("symbol", F.explode(bars).alias("bar")).select("symbol", "bar.*")
-
-
 @dataclass(frozen=True)
 class LandingResult:
     """Bars of the symbols that passed, and one outcome row per payload symbol."""

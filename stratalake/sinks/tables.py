@@ -22,6 +22,7 @@ def write_partitioned(
     fmt: str = "parquet",
     mode: str = "replace",
     sort_by: Sequence[str] = (),
+    rebalance: bool = True,
     options: dict[str, str] | None = None,
 ) -> None:
     """Publish a table in folders by partition value.
@@ -33,12 +34,14 @@ def write_partitioned(
 
     Rows are rebalanced by partition value first: small partitions share a task
     and get few files, a partition with most of the rows is split over many
-    tasks. ``sort_by`` orders each file for row-group skipping.
+    tasks. Input that already lies in partition order, such as events in order
+    of time, can skip that shuffle with ``rebalance=False``. ``sort_by`` orders
+    each file for row-group skipping.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown mode {mode!r}")
-    spread = df.hint("rebalance", *partitions).sortWithinPartitions(*partitions, *sort_by)
-    writer = spread.write.format(fmt).partitionBy(*partitions).options(**(options or {}))
+    spread = df.hint("rebalance", *partitions) if rebalance else df
+    writer = spread.sortWithinPartitions(*partitions, *sort_by).write.format(fmt).partitionBy(*partitions).options(**(options or {}))
     if mode == "replace":
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
     else:

@@ -213,5 +213,9 @@ def test_bar_sanity(spark):
     assert found == {"high_is_highest": 1, "low_is_lowest": 1, "volume_in_range": 1}
 
 
+def test_sample_looks_at_no_more_rows_than_asked(spark, sample):
+    assert quality.check(sample, RULES, sample_rows=2).rows == 2
+
+
 def test_rules_are_data():
     assert Rule("r", "c", "c > 1") == Rule("r", "c", "c > 1")

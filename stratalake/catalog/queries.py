@@ -270,7 +270,7 @@ def record_ids(spark, sf_dir):
 
 @registered
 def json_props(spark, sf_dir):
-    ev = roles.events(spark, sf_dir)
+    ev = roles.parsed_events(spark, sf_dir)
     return ev.select("event_id", "k", F.to_json(F.struct("k")).alias("props"))
 
 
@@ -519,8 +519,8 @@ def missing_partitions(spark, sf_dir):
             F.date_format("o_orderdate", "'/year='yyyy'/'MM'.json'"),
         ).alias("path")
     )
-    plan = planning.month_plan(_sites(spark, sf_dir), "1995-01", "2001-12")
-    missing = planning.missing_documents(plan, planning.document_inventory(stored))
+    keys = planning.document_keys(stored)
+    missing = planning.missing_months(_sites(spark, sf_dir), keys, "1995-01", "2001-12")
     return missing.select("city", "year", "month", "document_key")
 
 

@@ -49,9 +49,17 @@ def batch_time(batch: Column) -> Column:
     return F.try_to_timestamp(F.split_part(batch, F.lit("."), F.lit(1)), F.lit(STAMP_FORMAT))
 
 
+def city_folder(city: Column, prefix: str) -> Column:
+    """Folder of a city's documents."""
+    return F.concat(F.lit(f"{prefix}/city="), slug(city))
+
+
+def month_file(folder: Column, year: Column, month: Column) -> Column:
+    """Object key of one month's document in a city folder."""
+    padded = F.lpad(month.cast("string"), 2, "0")
+    return F.concat(folder, F.lit("/year="), year.cast("string"), F.lit("/"), padded, F.lit(".json"))
+
+
 def month_key(city: Column, year: Column, month: Column, prefix: str) -> Column:
     """Object key of one city-month document."""
-    padded = F.lpad(month.cast("string"), 2, "0")
-    return F.concat(
-        F.lit(f"{prefix}/city="), slug(city), F.lit("/year="), year.cast("string"), F.lit("/"), padded, F.lit(".json")
-    )
+    return month_file(city_folder(city, prefix), year, month)

@@ -12,7 +12,7 @@ from ..functions.text import slug
 from ..functions.timefeatures import to_day
 from ..operators.lineage import Run
 from ..operators.nesting import DOCUMENT_PREFIX, document_days, last_per_key, monthly_documents
-from ..operators.planning import document_inventory, missing_documents, month_plan
+from ..operators.planning import document_keys, missing_months
 from ..operators.quality import QualityError, stage_and_check
 from ..schemas import SILVER_WEATHER, select_contract
 from ..session import scratch_path
@@ -56,8 +56,8 @@ def plan_fetch(
     spark: SparkSession, cities: DataFrame, start_month: str, end_month: str, stored_root: str
 ) -> DataFrame:
     """City-months that have no stored document yet."""
-    inventory = document_inventory(list_files(spark, stored_root, "*.json"))
-    return missing_documents(month_plan(cities, start_month, end_month), inventory)
+    stored = document_keys(list_files(spark, stored_root, "*.json"))
+    return missing_months(cities, stored, start_month, end_month)
 
 
 def fetch_outcomes(planned_days: DataFrame, readings: DataFrame) -> DataFrame:

@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from stratalake.operators.calendar import month_days
 from stratalake.operators.lineage import Run
 from stratalake.operators.nesting import document_days, last_per_key, monthly_documents
-from stratalake.operators.planning import days_to_fetch, document_inventory, missing_documents, month_plan
+from stratalake.operators.planning import (
+    days_to_fetch,
+    document_inventory,
+    document_keys,
+    missing_documents,
+    missing_months,
+    month_plan,
+)
 from stratalake.operators.quality import QualityError, contract_gaps, outcome_tally
 from stratalake.plans import weather as plan
 from stratalake.schemas import SILVER_WEATHER, WEATHER_DAY
@@ -202,3 +209,21 @@ def test_fetch_outcomes(spark):
 def test_files_of_a_missing_folder(spark, tmp_path):
     assert list_files(spark, str(tmp_path / "none")).count() == 0
     assert list_files(spark, str(tmp_path)).select(F.col("path")).count() == 0
+
+
+def test_missing_months_equals_the_anti_join(spark):
+    """Both forms agree over a period longer than one month set, with odd paths."""
+    cities = spark.createDataFrame([("New York",), ("London",), ("Rome",)], "city string")
+    paths = [
+        f"x/bronze/openweathermap/city={c}/year={y}/{m:02d}.json"
+        for c in ("new york", "london")
+        for y in range(2009, 2022)
+        for m in range(1, 13)
+        if (y * 12 + m) % (5 if c == "london" else 3)
+    ]
+    odd = ["x/bronze/openweathermap/city=rome/year=2015/1.json", "x/bronze/openweathermap/city=rome/year=2015/01.txt"]
+    keys = document_keys(spark.createDataFrame([(p,) for p in paths * 2 + odd], "path string"))
+    fast = missing_months(cities, keys, "2010-03", "2020-11")
+    plain = missing_documents(month_plan(cities, "2010-03", "2020-11"), keys.distinct())
+    assert sorted(map(tuple, fast.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    assert fast.filter("city = 'Rome'").count() == 129

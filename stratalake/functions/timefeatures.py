@@ -20,13 +20,14 @@ def to_day(text: Column) -> Column:
     return text.try_cast("timestamp").cast("date")
 
 
+def flag(condition: Column) -> Column:
+    """1 where the condition holds, 0 where it does not or is unknown."""
+    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
+
+
 def add_time_features(df: DataFrame, day: str = "date") -> DataFrame:
     """Day of week, month and the flags derived from them."""
     weekday, month = F.dayofweek(day), F.month(day)
-
-    def flag(condition: Column) -> Column:
-        return F.when(condition, F.lit(1)).otherwise(F.lit(0))
-
     return df.withColumns(
         {
             "day_of_week": weekday,

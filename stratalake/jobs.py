@@ -1,4 +1,4 @@
-"""``spark-submit`` entry: ``jobs.py <events|weather|bars|land|plan|gold> …``.
+"""The jobs behind ``run_job.py``.
 
 Storage credentials, table format jars and cluster size are session
 configuration and stay with ``spark-submit``.

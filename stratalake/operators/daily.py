@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timefeatures import flag
 from .calendar import as_date
 
 
@@ -97,7 +98,7 @@ def daily_market(bars: DataFrame, tickers: Sequence[str], start, end) -> DataFra
         .agg(
             F.avg(change).alias("market_avg_change_pct"),
             F.stddev_samp(change).alias("market_volatility"),
-            F.avg(F.when(change > 0, F.lit(1)).otherwise(F.lit(0))).alias("market_positive_ratio"),
+            F.avg(flag(change > 0)).alias("market_positive_ratio"),
             F.count("ticker").alias("market_stocks_traded"),
             F.avg("volume").alias("market_avg_volume"),
         )
@@ -129,7 +130,6 @@ def daily_weather(weather: DataFrame, city: str, start, end) -> DataFrame:
             F.sum("precipitation_mm").alias("weather_total_precipitation"),
         )
     )
-    flag = lambda condition: F.when(condition, F.lit(1)).otherwise(F.lit(0))
     return per_day.withColumns(
         {
             "weather_temp_f": fahrenheit(F.col("weather_avg_temp_c")),

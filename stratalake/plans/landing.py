@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import path_key
+from ..operators.joins import drop_listed
 from ..operators.nesting import BAR_COLUMNS, header_names, payload_bars, series_of, text_lines
 from ..operators.quality import outcome_by_key, stage_and_check
 from ..session import scratch_path
@@ -77,6 +78,17 @@ def _per_symbol(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def with_skipped(outcomes: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Outcomes of a batch, counting symbols that were fresh and not fetched as passed."""
+    skipped = fresh.filter("fresh").select(
+        "symbol",
+        F.lit("passed").alias("status"),
+        F.lit("fresh").alias("reason"),
+        F.lit(0).cast("bigint").alias("row_count"),
+    )
+    return outcomes.unionByName(drop_listed(skipped, outcomes, ["symbol"]))
+
+
 def land_payloads(spark: SparkSession, payload_root: str, target: str, batch_ts: str) -> LandingResult:
     """Read one payload per file, land the good ones as CSV under the batch stamp."""
     files = list_files(spark, payload_root).select(path_key(F.col("path")).alias("symbol"), "path")

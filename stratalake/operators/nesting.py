@@ -29,7 +29,7 @@ DOCUMENT_PREFIX = "bronze/openweathermap"
 DOCUMENT_SOURCE = "openweathermap"
 
 
-def last_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def last_per_key(df: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """The row with the greatest ``order`` value of each key.
 
     An aggregate and not a window: rows are reduced before the shuffle, so no
@@ -37,21 +37,27 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     the other columns, in every run alike.
     """
     others = [c for c in df.columns if c not in (*keys, order)]
-    row = F.struct(order, *others)
+    row = F.struct(*([order] if order else []), *others)
     return df.groupBy(*keys).agg(F.max(row).alias("last")).select(*keys, "last.*")
 
 
-def monthly_documents(days: DataFrame, run: Run, source: str = DOCUMENT_SOURCE) -> DataFrame:
+def monthly_documents(
+    readings: DataFrame, run: Run, landed_at: str | None = None, source: str = DOCUMENT_SOURCE
+) -> DataFrame:
     """One document per city and month holding its daily records in date order.
 
-    ``days`` has a ``city`` and the columns of a weather day, at most one row
-    per city and date (see :func:`last_per_key`), so a document holds 31 records
-    at most. A month without records gives no document.
+    ``readings`` has a ``city`` and the columns of a weather day. A day read
+    again replaces the earlier reading (by ``landed_at``), as a rewritten object
+    would. That reduction comes first and combines before its shuffle, so the
+    list gathered per document has 31 records at most, whatever the input. A
+    month without records gives no document, and a reading without a readable
+    date belongs to no month.
     """
-    day = to_day(F.col("date"))
+    dated = readings.withColumn("day", to_day(F.col("date"))).filter(F.col("day").isNotNull())
+    days = last_per_key(dated, ["city", "day"], landed_at)
     record = F.struct(*[F.col(name) for name in WEATHER_DAY.fieldNames()])
-    grouped = days.groupBy("city", F.year(day).alias("year"), F.month(day).alias("month")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("date"), record.alias("record")))).alias("ordered"),
+    grouped = days.groupBy("city", F.year("day").alias("year"), F.month("day").alias("month")).agg(
+        F.sort_array(F.collect_list(F.struct("day", record.alias("record")))).alias("ordered"),
         F.count(F.lit(1)).cast("int").alias("record_count"),
     )
     metadata = F.struct(

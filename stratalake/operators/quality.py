@@ -7,6 +7,7 @@ only ``not_null`` rejects nulls.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -114,7 +115,7 @@ def _settled(df: DataFrame) -> DataFrame:
     There every rule would parse and score the raw fields again; a row count
     observed in between makes the filter read the derived columns.
     """
-    return df.observe("rows_checked", F.count(F.lit(1)))
+    return df.observe(f"rows_checked_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows_checked"))
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scores import weather_confidence
 from ..functions.text import slug
 from ..functions.timefeatures import to_day
-from ..operators.lineage import Run
-from ..operators.nesting import DOCUMENT_PREFIX, document_days, last_per_key, monthly_documents
+from ..operators.nesting import DOCUMENT_PREFIX, document_days
 from ..operators.planning import document_keys, missing_months
 from ..operators.quality import QualityError, stage_and_check
 from ..schemas import SILVER_WEATHER, select_contract
@@ -74,15 +73,5 @@ def fetch_outcomes(planned_days: DataFrame, readings: DataFrame) -> DataFrame:
     )
 
 
-def assemble_documents(readings: DataFrame, run: Run, landed_at: str) -> DataFrame:
-    """Month documents from landed day readings.
-
-    A day fetched again replaces the earlier reading, as a rewritten object
-    would; that keeps a document within the days of its month.
-    """
-    days = last_per_key(readings, ["city", "date"], landed_at)
-    return monthly_documents(days, run)
-
-
 def land_documents(documents: DataFrame, root: str) -> None:
     write_documents(documents, f"{root.rstrip('/')}/{DOCUMENT_PREFIX}")

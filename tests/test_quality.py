@@ -169,6 +169,12 @@ def test_quarantine_and_rest_partition_the_rows(sample):
     assert quality.without_broken(sample, RULES).count() == 3
 
 
+def test_both_sides_in_one_query(sample):
+    kept = quality.without_broken(sample, RULES).select("k", "n")
+    other = quality.quarantine(sample, RULES[:1]).select("k", "n")
+    assert kept.unionByName(other).count() == 4
+
+
 def test_outcome_by_key(sample):
     got = {r.k: (r.status, r.reason, r.row_count) for r in quality.outcome_by_key(sample, RULES, "k").collect()}
     assert got == {

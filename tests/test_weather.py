@@ -123,7 +123,7 @@ def readings(spark, rows):
     """Rows of (city, date, temperature, landed_at)."""
     schema = WEATHER_DAY.simpleString().removeprefix("struct<").removesuffix(">")
     data = [(c, at, *tuple_of(record(d) | {"lat": t})) for c, d, t, at in rows]
-    return spark.createDataFrame(data, f"city string, landed_at int, {schema.replace(':', ' ', 0)}")
+    return spark.createDataFrame(data, f"city string, landed_at int, {schema}")
 
 
 def tuple_of(day):
@@ -146,11 +146,18 @@ def test_documents_per_month(spark):
 
 def test_refetched_day_replaces_the_earlier_reading(spark):
     rows = [("A", "2024-01-01", float(i), i) for i in range(50)] + [("A", "2024-01-02", 7.0, 0)]
-    doc = plan.assemble_documents(readings(spark, rows), RUN, "landed_at").first()
+    doc = monthly_documents(readings(spark, rows), RUN, "landed_at").first()
     assert doc.data.metadata.record_count == 2
     assert [d.lat for d in doc.data.data] == [49.0, 7.0]
 
 
+def test_one_day_read_very_often(spark):
+    """Copies of one city and day never gather in a document."""
+    hot = readings(spark, [("A", "2024-01-01", 1.0, 1)]).drop("landed_at").crossJoin(spark.range(20_000).select())
+    doc = monthly_documents(hot.unionByName(readings(spark, [("A", "x", 1.0, 1)]).drop("landed_at")), RUN).collect()
+    assert [len(d.data.data) for d in doc] == [1]
+
+
 def test_last_per_key_settles_ties_and_null_order(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("b", None, "z")], "k string, o int, v string")
     got = {r.k: (r.o, r.v) for r in last_per_key(df, ["k"], "o").collect()}
@@ -159,7 +166,7 @@ def test_last_per_key_settles_ties_and_null_order(spark):
 
 def test_documents_land_and_come_back(spark, tmp_path):
     rows = [("New York", f"2024-01-{d:02d}", 40.0, 1) for d in range(1, 32)] + [("London", "2023-12-31", 51.0, 1)]
-    docs = plan.assemble_documents(readings(spark, rows), RUN, "landed_at")
+    docs = monthly_documents(readings(spark, rows), RUN, "landed_at")
     plan.land_documents(docs, str(tmp_path))
     root = f"{tmp_path}/bronze/openweathermap"
     silver = plan.weather_to_silver(spark, weather_paths(root, ["all"]))

@@ -29,8 +29,10 @@ def read_event_stream(spark: SparkSession, root: str, files_per_batch: int = 100
 
 
 def _append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Rebalanced like a batch publish: few files per partition, hot ones split."""
     return (
-        df.writeStream.format("parquet")
+        df.hint("rebalance", *EVENT_PARTITIONS)
+        .writeStream.format("parquet")
         .partitionBy(*EVENT_PARTITIONS)
         .option("checkpointLocation", checkpoint)
         .option("path", path)

@@ -12,7 +12,7 @@ from ..functions.text import slug
 from ..functions.timefeatures import to_day
 from ..operators.nesting import DOCUMENT_PREFIX, document_days
 from ..operators.planning import document_keys, missing_months
-from ..operators.quality import QualityError, stage_and_check
+from ..operators.quality import stage_and_check
 from ..schemas import SILVER_WEATHER, select_contract
 from ..session import scratch_path
 from ..sinks.tables import WEATHER_PARTITIONS, write_documents, write_partitioned

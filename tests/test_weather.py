@@ -153,7 +153,8 @@ def test_refetched_day_replaces_the_earlier_reading(spark):
 
 def test_one_day_read_very_often(spark):
     """Copies of one city and day never gather in a document."""
-    hot = readings(spark, [("A", "2024-01-01", 1.0, 1)]).drop("landed_at").crossJoin(spark.range(20_000).select())
+    copies = F.explode(F.sequence(F.lit(1), F.lit(20_000)))
+    hot = readings(spark, [("A", "2024-01-01", 1.0, 1)]).drop("landed_at").withColumn("copy", copies).drop("copy")
     doc = monthly_documents(hot.unionByName(readings(spark, [("A", "x", 1.0, 1)]).drop("landed_at")), RUN).collect()
     assert [len(d.data.data) for d in doc] == [1]
 

@@ -3,9 +3,11 @@
 import __spark_entry__ as spark_entry
 import pytest
 
+from stratalake.catalog.oracles import statements
+from stratalake.catalog.queries import all_queries
 from tests.compare import connect, difference
 
-QUERIES, ORACLE = spark_entry.queries(), spark_entry.oracle_sql()
+QUERIES, ORACLE = all_queries(), statements()  # those of the optional subpackage have tests of their own
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +17,7 @@ def duck(small_tables):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(spark_entry.queries()) and set(ORACLE) <= set(spark_entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

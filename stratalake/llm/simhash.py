@@ -13,10 +13,11 @@ in a table, with certainty and not only with high probability.
 **Buckets.** Only distinct fingerprints are put into the tables. A bucket of at
 most ``small_bucket`` fingerprints is verified inside one row and emits the true
 links only. Members of larger buckets are linked exactly in another way, without
-looking at their pairs: for radius 2, two of them are within the radius if and
-only if flipping at most one bit of each gives a common value. The fingerprints
-that share such a value are within the radius of one another and are at most 65,
-so a star among them keeps all connections.
+looking at their pairs: for an even radius, two of them are within the radius if
+and only if flipping at most ``radius / 2`` bits of each gives a common value.
+The fingerprints that share such a value are within the radius of one another
+and are at most 65 (2,081 for radius 4), so a star among them keeps all
+connections.
 
 Nothing is collected to the driver; a hot fingerprint or bucket is combined
 before the shuffle or split by the skew handling of joins between staged tables.
@@ -25,6 +26,7 @@ before the shuffle or split by the skew handling of joins between staged tables.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -92,8 +94,8 @@ def links(distinct: DataFrame, radius: int = 2, small_bucket: int = 48) -> DataF
     Pairs of small buckets are all there; among members of large ones there are
     enough of them to connect whatever is within the radius.
     """
-    if radius > 2:
-        raise ValueError("members of large buckets are linked exactly for a radius up to 2")
+    if radius not in (0, 1, 2, 4):
+        raise ValueError("members of large buckets are linked exactly for a radius of 0, 1, 2 or 4")
     tables = F.explode(F.array(*[F.struct(F.lit(n).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for n, m in enumerate(covering_masks(radius))]))
     keys = distinct.select("fp", tables.alias("k")).select("k.t", "k.key", "fp")
     shared = staged(keys.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
@@ -108,15 +110,16 @@ def links(distinct: DataFrame, radius: int = 2, small_bucket: int = 48) -> DataF
     )
     small = listed.select(F.explode(found).alias("p")).select("p.a", "p.b")
 
-    half = radius // 2  # 0 for radius 0 and 1: handled below
-    flips = [0] + ([1 << i if i < 63 else -(1 << 63) for i in range(BITS)] if radius else [])
+    bit = [1 << i if i < 63 else -(1 << 63) for i in range(BITS)]
+    half, reach = radius // 2, (radius + 1) // 2
+    flips = [sum(c) for n in range(reach + 1) for c in combinations(bit, n)]
     hot = members.filter(F.col("n") > small_bucket).select("fp").distinct()
     spread = hot.select("fp", F.explode(F.transform(F.array(*map(F.lit, flips)), lambda m: F.col("fp").bitwiseXOR(m))).alias("near"))
-    balls = spread.groupBy("near").agg(F.sort_array(F.collect_set("fp")).alias("fps")).filter(F.size("fps") > 1)  # 65 at most
+    balls = spread.groupBy("near").agg(F.sort_array(F.collect_set("fp")).alias("fps")).filter(F.size("fps") > 1)
     if half:
-        first, rest = F.element_at("fps", 1), F.slice("fps", 2, BITS + 1)
+        first, rest = F.element_at("fps", 1), F.slice("fps", 2, len(flips))
         star = balls.select(first.alias("a"), F.explode(rest).alias("b"))
-    else:  # the value itself must be a member: the other ends are one flip away from it
+    else:  # radius 0 or 1: the value itself must be a member, the others are one flip away from it
         centre = balls.filter(F.array_contains("fps", F.col("near")))
         star = centre.select("near", F.explode("fps").alias("o")).filter("near != o").select(F.least("near", "o").alias("a"), F.greatest("near", "o").alias("b"))
     result = staged(small.unionByName(star).distinct(), "links")
@@ -149,10 +152,11 @@ def near_duplicates(
     return rows.join(labels, "fp").select(F.col("id").alias(id_col), hexed.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def keep_first(docs: DataFrame, radius: int = 2, shingle_words: int = 3) -> DataFrame:
+def keep_first(docs: DataFrame, radius: int = 4, shingle_words: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the row of its smallest id.
 
-    Rows that repeat that id stay once; of a group without ids one row stays.
+    The radius is wider than that of a link by default: texts of which one word in
+    fifty differs are four bits apart, and unrelated ones about thirty-two. Rows that repeat that id stay once; of a group without ids one row stays.
     """
     uid, key = fresh_name(docs, "row_uid"), "doc_id"
     whole = staged(docs.withColumn(uid, F.monotonically_increasing_id()), "numbered")

@@ -51,7 +51,7 @@ def test_spark_hash_is_the_same(spark):
     assert got % (1 << 64) == xxhash.xxh64_intdigest("the quick é".encode(), 42)
 
 
-@pytest.mark.parametrize("radius", [0, 1, 2])
+@pytest.mark.parametrize("radius", [0, 1, 2, 4])
 def test_every_pair_within_the_radius_meets(radius):
     masks = covering_masks(radius)
     rng = random.Random(radius)
@@ -61,7 +61,7 @@ def test_every_pair_within_the_radius_meets(radius):
         assert any(change & (m % (1 << 64)) == 0 for m in masks)
 
 
-@pytest.mark.parametrize("radius,small_bucket", [(2, 48), (2, 1), (1, 1), (0, 1)])
+@pytest.mark.parametrize("radius,small_bucket", [(2, 48), (2, 1), (1, 1), (4, 48), (4, 1)])
 def test_links_connect_what_is_within_the_radius(spark, radius, small_bucket):
     rng = random.Random(5)
     values = {rng.getrandbits(64) for _ in range(60)}
@@ -80,7 +80,7 @@ def test_links_connect_what_is_within_the_radius(spark, radius, small_bucket):
 
 def test_components_of_a_path_and_a_star(spark):
     rng = random.Random(3)
-    path = list(range(300))
+    path = list(range(60))
     rng.shuffle(path)
     edges = [*zip(path, path[1:]), *((1000, 2000 + i) for i in range(50)), (5000, 5000)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
@@ -108,7 +108,7 @@ def test_keep_first(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_uid", F.lit(0))
     kept = keep_first(df)
     assert kept.columns == df.columns
-    parts = slow_components([i for i, _ in rows], [slow_fingerprint(t) for _, t in rows], 2)
+    parts = slow_components([i for i, _ in rows], [slow_fingerprint(t) for _, t in rows], 4)
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == sorted({p for p in parts if p is not None})
     assert ids.count(None) == 1  # the row that is alone

@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
-from ..functions.timefeatures import HOLIDAY_MONTHS
 from ..operators.nesting import DOCUMENT_PREFIX
-from ..plans.rules import (
-    BAR_NUMBERS,
-    BAR_SANITY_RULES,
-    EVENT_RULES,
-    EVENT_TYPES,
-    GOLD_SOURCE,
-    GOLD_VERSION,
-    LANDED_BAR_RULES,
-    RAW_WEATHER_RULES,
-    WEATHER_RULES,
-    gold_rules,
-)
+from ..plans.rules import BAR_NUMBERS, EVENT_TYPES, GOLD_SOURCE, GOLD_VERSION
 from .queries import ALLOWED_TICKERS, MARKET_END, MARKET_START, PERIOD, RUN, SALES_END, STALE_RUN
 from .roles import CITIES, oracle_with
 
+# Months of the holiday season.
+HOLIDAY_MONTHS = (11, 12, 1)
+
 RUN_TEXT = f"{RUN.run_ts:%Y-%m-%d %H:%M:%S}"
 TYPES = ", ".join(f"'{t}'" for t in EVENT_TYPES)
 TICKERS = ", ".join(f"'{t}'" for t in PERIOD.tickers)
@@ -153,6 +144,9 @@ STORED_EVENTS = f"""{SILVER_EVENTS}
 SELECT strftime(event_time, {TIME}) AS event_time, event_type, product_id, brand, price, user_id, user_session, record_id
 FROM silver WHERE event_type IN ({TYPES})"""
 
+REJECTED_EVENTS = f"""{oracle_with("raw_events")}
+SELECT user_session, event_type, 'event_type_in_set' AS broken_rules FROM raw_events WHERE event_type NOT IN ({TYPES})"""
+
 BAR_TEXT_ROWS = f"{oracle_with('bars')} SELECT ticker AS symbol, {day('trade_date')} AS trade_date, open, high, low, close, volume FROM bars"
 
 DOCUMENT_KEY = "'{prefix}/city=' || replace(lower({city}), ' ', '_') || '/year=' || {year} || '/' || lpad(CAST({month} AS VARCHAR), 2, '0') || '.json'"
@@ -162,17 +156,83 @@ def document_key(city: str, year: str, month: str) -> str:
     return DOCUMENT_KEY.format(prefix=DOCUMENT_PREFIX, city=city, year=year, month=month)
 
 
-def report(prelude: str, table: str, rules, conditions: dict[str, str] | None = None, by: str = "") -> str:
-    """One row per rule; ``conditions`` restates predicates whose dialect differs."""
+def missing(*columns: str) -> list[tuple[str, str, str]]:
+    return [(f"{c}_not_null", c, f'"{c}" IS NULL') for c in columns]
+
+
+def outside(column: str, condition: str, name: str = "in_range") -> tuple[str, str, str]:
+    return (f"{column}_{name}", column, condition)
+
+
+# The rules of every contract as ``(name, column, what breaks it)``, written out here and
+# not taken from the code under test.
+RULES = {
+    "events": [
+        *missing("event_time", "event_type", "product_id", "user_id", "user_session", "year_month", "processing_timestamp", "effective_from", "data_confidence_score", "source_system", "source_file", "batch_id", "record_id"),
+        outside("event_type", "event_type NOT IN ('view', 'cart', 'purchase')", "in_set"),
+        outside("product_id", "product_id < 1"),
+        outside("price", "price < 0"),
+        outside("data_confidence_score", "data_confidence_score < 0 OR data_confidence_score > 1"),
+    ],
+    "weather": [
+        *missing("observation_date", "ingestion_datetime", "year", "city", "latitude", "longitude", "data_confidence_score", "source_system"),
+        outside("year", "year < 2020 OR year > 2030"),
+        outside("latitude", "abs(latitude) > 90"),
+        outside("longitude", "abs(longitude) > 180"),
+        outside("pressure_hpa", "pressure_hpa < 0"),
+        outside("humidity_percent", "humidity_percent < 0 OR humidity_percent > 100"),
+        outside("cloud_cover_percent", "cloud_cover_percent < 0 OR cloud_cover_percent > 100"),
+        outside("precipitation_mm", "precipitation_mm < 0"),
+        outside("data_confidence_score", "data_confidence_score < 0 OR data_confidence_score > 1"),
+    ],
+    "silver_bars": missing("ticker", "processing_timestamp", "source_system", "source_file", "batch_id", "record_id", "completeness_score", "data_confidence"),
+    "bars": [
+        ("high_is_highest", "high_price", "high_price < low_price OR high_price < open_price OR high_price < close_price"),
+        ("low_is_lowest", "low_price", "low_price > open_price OR low_price > close_price"),
+        *[outside(c, f"{c} < 0") for c in ("open_price", "high_price", "low_price", "close_price", "volume")],
+    ],
+    "landed_bars": [
+        ("timestamp_is_date", "timestamp", 'try_cast("timestamp" AS TIMESTAMP) IS NULL'),
+        *[(f"{c}_is_number", c, f"try_cast({c} AS DOUBLE) IS NULL") for c in ("open", "high", "low", "close")],
+        ("volume_is_integer", "volume", "NOT regexp_full_match(volume, '-?[0-9]+')"),
+        *[(f"{c}_not_negative", c, f"try_cast({c} AS DOUBLE) < 0") for c in ("open", "high", "low", "close", "volume")],
+    ],
+    "raw_weather": [
+        *missing("lat", "lon", "date", "cloud_cover_afternoon", "humidity_afternoon", "precipitation_total", "temperature_min", "temperature_max", "temperature_afternoon", "temperature_night", "temperature_evening", "temperature_morning", "pressure_afternoon", "wind_max_speed", "wind_max_direction", "source", "ingestion_timestamp", "city", "timezone"),
+        *[(f"{c}_is_integer", c, f"{c} <> floor({c})") for c in ("cloud_cover_afternoon", "humidity_afternoon", "pressure_afternoon", "wind_max_direction")],
+        outside("lat", "abs(lat) > 90"),
+        outside("lon", "abs(lon) > 180"),
+        outside("cloud_cover_afternoon", "cloud_cover_afternoon < 0 OR cloud_cover_afternoon > 100"),
+        outside("humidity_afternoon", "humidity_afternoon < 0 OR humidity_afternoon > 100"),
+        outside("wind_max_direction", "wind_max_direction < 0 OR wind_max_direction > 360"),
+    ],
+    "gold": [
+        outside("date", f"date NOT BETWEEN DATE '{PERIOD.start}' AND DATE '{PERIOD.end}'"),
+        *missing("sales_event_count"),
+        outside("sales_event_count", "sales_event_count < 0"),
+        outside("sales_total_revenue", "sales_total_revenue < 0"),
+        outside("market_avg_change_pct", "abs(market_avg_change_pct) > 100"),
+        outside("market_positive_ratio", "market_positive_ratio < 0 OR market_positive_ratio > 1"),
+        outside("weather_avg_temp_c", "abs(weather_avg_temp_c) > 50"),
+        outside("weather_avg_humidity", "weather_avg_humidity < 0 OR weather_avg_humidity > 100"),
+        outside("day_of_week", "day_of_week < 1 OR day_of_week > 7"),
+        outside("is_weekend", "is_weekend NOT IN (0, 1)", "in_set"),
+        *missing("processing_timestamp"),
+        outside("data_source", "data_source <> 'daily_business_analytics'", "in_set"),
+    ],
+}
+
+
+def report(prelude: str, table: str, rules: list[tuple[str, str, str]], by: str = "") -> str:
+    """One row per rule."""
     lead = f"{by}, " if by else ""
     group = f" GROUP BY {by}" if by else ""
     parts = []
-    for rule in rules:
-        broken = (conditions or {}).get(rule.name, rule.broken_when).replace("`", '"')
+    for name, column, broken in rules:
         count = f"CAST(count(*) FILTER (WHERE {broken}) AS BIGINT)"
         parts.append(
-            f"SELECT {lead}CAST(count(*) AS BIGINT) AS rows_checked, '{rule.name}' AS rule, "
-            f"'{rule.column}' AS \"column\", {count} AS violations, {count} = 0 AS passed FROM {table}{group}"
+            f"SELECT {lead}CAST(count(*) AS BIGINT) AS rows_checked, '{name}' AS rule, "
+            f"'{column}' AS \"column\", {count} AS violations, {count} = 0 AS passed FROM {table}{group}"
         )
     return prelude + "\n" + "\nUNION ALL\n".join(parts)
 
@@ -354,22 +414,25 @@ def statements() -> dict[str, str]:
         "clean_bars": f"""{TICKER_OUTCOMES}
             SELECT ticker, {day("trade_date")} AS trade_date, open, high, low, close, volume FROM gapped
             WHERE ticker NOT IN (SELECT ticker FROM judged WHERE status = 'failed')""",
-        "rule_report_events": report(SILVER_EVENTS, "silver", EVENT_RULES),
-        "rule_report_events_by_month": report(SILVER_EVENTS, "silver", EVENT_RULES, by="year_month"),
-        "rule_report_weather": report(WEATHER_FULL, "stamped", WEATHER_RULES),
-        "rule_report_raw_weather": report(RAW_WEATHER, "flat", RAW_WEATHER_RULES),
+        "rule_report_events": report(SILVER_EVENTS, "silver", RULES["events"]),
+        "rule_report_events_by_month": report(SILVER_EVENTS, "silver", RULES["events"], by="year_month"),
+        "rule_report_weather": report(WEATHER_FULL, "stamped", RULES["weather"]),
+        "rule_report_raw_weather": report(RAW_WEATHER, "flat", RULES["raw_weather"]),
         "rule_report_bars": report(
             oracle_with("bars"),
             "(SELECT open AS open_price, high AS high_price, low AS low_price, close AS close_price, volume FROM bars)",
-            BAR_SANITY_RULES,
+            RULES["bars"],
         ),
-        "rule_report_landed_bars": report(
-            LANDED_TEXTS,
-            "spoiled",
-            LANDED_BAR_RULES,
-            {"volume_is_integer": "NOT regexp_full_match(volume, '-?[0-9]+')"},
+        "rule_report_landed_bars": report(LANDED_TEXTS, "spoiled", RULES["landed_bars"]),
+        "rule_report_gold": report(GOLD, "gold", RULES["gold"]),
+        "rule_report_silver_bars": report(
+            f"""{oracle_with("gapped")},
+            stored AS (
+              SELECT ticker, '{RUN_TEXT}' AS processing_timestamp, 'AlphaVantage' AS source_system, 'bars.csv' AS source_file,
+                     'batch-1' AS batch_id, md5(ticker) AS record_id, 1.0 AS completeness_score, 1.0 AS data_confidence FROM gapped)""",
+            "stored",
+            RULES["silver_bars"],
         ),
-        "rule_report_gold": report(GOLD, "gold", gold_rules(PERIOD.start, PERIOD.end)),
         "quarantine_events": f"""{oracle_with("raw_events")}
             SELECT user_session, event_type, 'event_type_in_set' AS broken_rules FROM raw_events
             WHERE event_type NOT IN ({TYPES})""",
@@ -430,6 +493,35 @@ def statements() -> dict[str, str]:
             FROM bars WHERE ticker IN ('error', 'view', 'click') GROUP BY ticker""",
         "events_from_csv": STORED_EVENTS,
         "streamed_events": STORED_EVENTS,
+        "events_in_two_batches": STORED_EVENTS,
+        "batch_then_stream": STORED_EVENTS,
+        "events_rejected_from_csv": REJECTED_EVENTS,
+        "streamed_rejects": REJECTED_EVENTS,
+        "symbols_round_trip": """
+            SELECT ['^', '% ', '[1]', '''', '+', 'x {y}'][s_suppkey % 6 + 1] || s_suppkey AS symbol, 2.0::DOUBLE AS close_price,
+                   CAST(s_suppkey AS DOUBLE) AS volume, true AS fresh, 'passed' AS status, CAST(1 AS BIGINT) AS row_count
+            FROM supplier""",
+        "fetch_cycle": f"""{city_days("2023-12-01", "2024-03-01")},
+            days AS (
+              SELECT city, month_start, CAST(unnest(generate_series(month_start, last_day(month_start), INTERVAL 1 DAY)) AS DATE) AS d FROM wanted
+            ),
+            first_cycle AS (
+              SELECT d.*, CASE WHEN r.day IS NULL THEN 'failed' ELSE 'passed' END AS status
+              FROM days d LEFT JOIN readings r ON r.city = d.city AND r.day = d.d
+            )
+            SELECT CAST(1 AS INT) AS cycle, city, {day("d")} AS date, status FROM first_cycle
+            UNION ALL
+            SELECT CAST(2 AS INT), city, {day("d")}, status FROM first_cycle f WHERE NOT EXISTS (
+              SELECT 1 FROM first_cycle p WHERE p.city = f.city AND p.month_start = f.month_start AND p.status = 'passed')""",
+        "document_outcomes": f"""{oracle_with("readings")}
+            SELECT city, CAST(month(day) AS INT) AS month,
+                   CASE WHEN city IN ('Tokyo', 'London') THEN 'failed' ELSE 'passed' END AS status,
+                   CASE city WHEN 'Tokyo' THEN 'unreadable' WHEN 'London' THEN 'no readings' END AS reason,
+                   CAST(CASE WHEN city IN ('Tokyo', 'London') THEN 0 ELSE count(*) END AS BIGINT) AS row_count
+            FROM readings GROUP BY city, year(day), month(day)""",
+        "daily_sales_float": f"""{ev},{sales_cte(SALES_END)}
+            SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date, round(sales_total_revenue, 6) AS sales_total_revenue,
+                   round(sales_avg_price, 6) AS sales_avg_price, round(sales_revenue_per_user, 6) AS sales_revenue_per_user) FROM sales""",
         "partition_keys": f"""{oracle_with("raw_events")}
             SELECT DISTINCT strftime(event_time, '%Y-%m') AS year_month, event_type FROM raw_events""",
         "events_append_twice": f"""{oracle_with("raw_events")}

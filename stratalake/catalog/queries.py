@@ -270,7 +270,7 @@ def record_ids(spark, sf_dir):
 
 @registered
 def json_props(spark, sf_dir):
-    ev = roles.parsed_events(spark, sf_dir)
+    ev = roles.events(spark, sf_dir)
     return ev.select("event_id", "k", F.to_json(F.struct("k")).alias("props"))
 
 
@@ -530,9 +530,7 @@ def missing_days(spark, sf_dir):
     root = scratch_path(spark, "stored")
     readings = roles.weather_readings(roles.events(spark, sf_dir))
     weather_plan.land_documents(nesting.monthly_documents(readings, RUN), root)
-    stored = sources.list_files(spark, root, "*.json").select(
-        F.regexp_replace("path", r"/month=(\d+)/[^/]+$", "/$1.json").alias("path")
-    )
+    stored = sources.list_files(spark, root, "*.json")
     plan = planning.month_plan(readings.select("city").distinct(), "2023-12", "2024-03")
     missing = planning.missing_documents(plan, planning.document_inventory(stored))
     return text_dates(planning.days_to_fetch(missing).select("city", "date", "document_key"), "date")
@@ -674,20 +672,13 @@ def bars_file_outcomes(spark, sf_dir):
 
 
 def _write_raw_events(spark: SparkSession, sf_dir: str) -> str:
-    """Raw event CSV files whose rows all keep the contract."""
-    raw = roles.raw_events(roles.events(spark, sf_dir))
+    """All raw events as CSV files."""
     root = scratch_path(spark, "bronze-events")
-    raw.filter(F.col("event_type").isin(*rules.EVENT_TYPES)).write.option("header", "true").csv(root)
+    roles.raw_events(roles.events(spark, sf_dir)).write.option("header", "true").csv(root)
     return root
 
 
-@registered
-def events_from_csv(spark, sf_dir):
-    """CSV scan, contract, two identical publishes, read back."""
-    silver = event_plan.events_to_silver(spark, _write_raw_events(spark, sf_dir), RUN)
-    target = scratch_path(spark, "silver-events")
-    event_plan.publish_events(silver, target)
-    event_plan.publish_events(silver, target)
+def _stored_events(spark: SparkSession, target: str) -> DataFrame:
     stored = sources.read_table(spark, target)
     return text_times(
         stored.select("event_time", "event_type", "product_id", "brand", "price", "user_id", "user_session", "record_id"),
@@ -695,6 +686,47 @@ def events_from_csv(spark, sf_dir):
     )
 
 
+def _rejected(rejected: DataFrame) -> DataFrame:
+    return rejected.select("user_session", "event_type", F.array_join("broken_rules", ",").alias("broken_rules"))
+
+
+@registered
+def events_from_csv(spark, sf_dir):
+    """CSV scan of all rows, contract, two identical publishes of what keeps it, read back."""
+    result = event_plan.split_events(spark, _write_raw_events(spark, sf_dir), RUN)
+    target = scratch_path(spark, "silver-events")
+    event_plan.publish_events(result.accepted, target)
+    event_plan.publish_events(result.accepted, target)
+    return _stored_events(spark, target)
+
+
+@registered
+def events_rejected_from_csv(spark, sf_dir):
+    return _rejected(event_plan.split_events(spark, _write_raw_events(spark, sf_dir), RUN).rejected)
+
+
+@registered
+def events_in_two_batches(spark, sf_dir):
+    """Each month comes in two parts, and both parts twice: every event is there once."""
+    silver = event_plan.split_events(spark, _write_raw_events(spark, sf_dir), RUN).accepted
+    target = scratch_path(spark, "silver-events")
+    late = F.dayofmonth("event_time") > 15
+    for part in (~late, late, late, ~late):
+        event_plan.publish_events(silver.filter(part), target)
+    return _stored_events(spark, target)
+
+
+@registered
+def batch_then_stream(spark, sf_dir):
+    """A batch publishes the views; the stream then adds all files to the same table."""
+    source = _write_raw_events(spark, sf_dir)
+    target, rejected, state = (scratch_path(spark, label) for label in ("stream", "rejected", "state"))
+    silver = event_plan.split_events(spark, source, RUN).accepted
+    event_plan.publish_events(silver.filter("event_type = 'view'"), target)
+    ingest_events(spark, source, target, rejected, state, RUN).awaitTermination()
+    return _stored_events(spark, target)
+
+
 @registered
 def partition_keys(spark, sf_dir):
     silver = _silver_events(spark, sf_dir)
@@ -736,10 +768,86 @@ def streamed_events(spark, sf_dir):
     source = _write_raw_events(spark, sf_dir)
     target, rejected, state = (scratch_path(spark, label) for label in ("stream", "rejected", "state"))
     for _ in range(2):
-        for query in ingest_events(spark, source, target, rejected, state, RUN):
-            query.awaitTermination()
-    stored = sources.read_table(spark, target)
-    return text_times(
-        stored.select("event_time", "event_type", "product_id", "brand", "price", "user_id", "user_session", "record_id"),
-        "event_time",
+        ingest_events(spark, source, target, rejected, state, RUN).awaitTermination()
+    return _stored_events(spark, target)
+
+
+@registered
+def streamed_rejects(spark, sf_dir):
+    """What the stream refused, with the rules it breaks."""
+    source = _write_raw_events(spark, sf_dir)
+    target, rejected, state = (scratch_path(spark, label) for label in ("stream", "rejected", "state"))
+    ingest_events(spark, source, target, rejected, state, RUN).awaitTermination()
+    return _rejected(sources.read_table(spark, rejected))
+
+
+# Characters that paths and globs treat in special ways.
+ODD = ("^", "% ", "[1]", "'", "+", "x {y}")
+
+
+@registered
+def symbols_round_trip(spark, sf_dir):
+    """Symbols with odd characters: landed, fresh, standardised and stored under one name."""
+    key = F.col("s_suppkey")
+    named = roles.table(spark, sf_dir, "supplier").select(
+        F.concat(F.get(F.array(*map(F.lit, ODD)), (key % len(ODD)).cast("int")), F.col("s_suppkey").cast("string")).alias("symbol"),
+        F.concat(F.lit('"Timestamp","open","high","low","close","volume"\n'), F.date_format(F.date_add(F.lit("2024-01-01"), (key % 28).cast("int")), "yyyy-MM-dd"),
+                 F.lit(",1.5,2.5,0.5,2.0,\""), key.cast("string"), F.lit("\"")).alias("value"),
+    )
+    payloads, landed, target = (scratch_path(spark, label) for label in ("payloads", "landed", "silver-bars"))
+    named.repartition(8).write.partitionBy("symbol").text(payloads)
+    landing.land_payloads(spark, payloads, landed, "20240131_120000")
+    fresh = planning.freshness(sources.list_files(spark, landed, "*.csv"), STALE_RUN.timestamp())
+    result = bar_plan.bars_to_silver(spark, landed, run=RUN)
+    bar_plan.publish_bars(result.silver, target)
+    stored = sources.read_table(spark, target, schema=result.silver.schema)
+    joined = stored.select(F.col("ticker").alias("symbol"), "close_price", "volume").join(fresh, "symbol", "full").join(result.outcomes.withColumnRenamed("ticker", "symbol"), "symbol", "full")
+    return joined.select("symbol", "close_price", F.col("volume").cast("double").alias("volume"), "fresh", "status", "row_count")
+
+
+@registered
+def fetch_cycle(spark, sf_dir):
+    """Two cycles of plan, landing and outcome; the second finds only months without a reading."""
+    root = scratch_path(spark, "cycle")
+    readings = roles.weather_readings(roles.events(spark, sf_dir))
+    cities = readings.select("city").distinct()
+    first = weather_plan.fetch_cycle(spark, cities, readings, "2023-12", "2024-03", root, RUN)
+    second = weather_plan.fetch_cycle(spark, cities, readings, "2023-12", "2024-03", root, RUN)
+    both = first.withColumn("cycle", F.lit(1)).unionByName(second.withColumn("cycle", F.lit(2)))
+    return text_dates(both.select("cycle", "city", "date", "status"), "date")
+
+
+@registered
+def document_outcomes(spark, sf_dir):
+    """Landed documents, those of two cities cut short or left without days."""
+    docs = _documents(spark, sf_dir).withColumn("whole", F.to_json(F.struct("city", "year", "month", "data", "s3_key")))
+    spoiled = docs.select(
+        "city", "year", "month",
+        F.when(F.col("city") == "Tokyo", F.expr("substring(whole, 1, length(whole) - 20)"))
+        .when(F.col("city") == "London", F.to_json(F.struct(F.struct("data.metadata").alias("data"))))
+        .otherwise(F.col("whole")).alias("value"),
+    )
+    root = scratch_path(spark, "documents")
+    spoiled.withColumn("n", F.col("month")).drop("month").write.partitionBy("city", "year", "n").text(root)
+    outcomes = weather_plan.document_outcomes(spark, root)
+    place = outcomes.select(
+        F.regexp_extract("path", "city=([^/]+)/", 1).alias("city"), F.regexp_extract("path", "year=([0-9]+)/n=([0-9]+)/", 2).cast("int").alias("month"), "status", "reason", "row_count"
+    )
+    return place
+
+
+@registered
+def rule_report_silver_bars(spark, sf_dir):
+    """The contract of stored bars over bars that miss numbers."""
+    texts = roles.gapped_bars(roles.events(spark, sf_dir)).select(
+        "ticker", F.date_format("trade_date", "yyyy-MM-dd").alias("timestamp"), *rules.BAR_NUMBERS, F.lit("bars.csv").alias("source_file")
     )
+    return quality.rule_report(bar_plan.standardize_bars(texts, RUN), rules.BAR_RULES)
+
+
+@registered
+def daily_sales_float(spark, sf_dir):
+    """Revenue as a sum of doubles, the default of the pipeline, compared to six digits."""
+    sales = daily.daily_sales(roles.sales_events(roles.events(spark, sf_dir)), PERIOD.start, SALES_END)
+    floats = ("sales_total_revenue", "sales_avg_price", "sales_revenue_per_user")
+    return text_dates(sales.withColumns({c: F.round(c, 6) for c in floats}), "date")

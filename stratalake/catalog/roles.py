@@ -37,17 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the number in ``props`` as column ``k``.
-
-    ``props`` is always ``{"k": <number>}``; picking out the number costs a
-    fifth of parsing the JSON text, which :func:`parsed_events` does.
-    """
-    number = F.regexp_extract("props", r'"k": *(-?\d+)', 1).try_cast("bigint")
-    return table(spark, sf_dir, "events").withColumn("k", number)
-
-
-def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with ``props`` parsed as JSON."""
+    """Events with the number in the JSON text ``props`` as column ``k``."""
     return table(spark, sf_dir, "events").withColumn("k", F.from_json("props", "k bigint")["k"])
 
 

@@ -30,8 +30,22 @@ def file_name(path: Column) -> Column:
     return F.split_part(path, F.lit("/"), F.lit(-1))
 
 
+def _decoded(text: Column) -> Column:
+    """Text with ``%XX`` read as characters; text that is no such spelling stays."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
+def plain_path(path: Column, encoded: bool = False) -> Column:
+    """One spelling of a file's path.
+
+    Listings give it as it is, ``_metadata.file_path`` and file indexes
+    percent-encoded (``encoded``), and the slashes after the scheme differ.
+    """
+    return F.regexp_replace(_decoded(path) if encoded else path, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
 def path_key(path: Column) -> Column:
-    """Key of a landed file: its ``symbol=`` folder, else the folder it lies in."""
+    """Key of a landed file, from its plain path: its ``symbol=`` folder, else the folder it lies in."""
     return F.coalesce(_folder_value(path, "symbol"), F.split_part(path, F.lit("/"), F.lit(-2)))
 
 
@@ -41,7 +55,8 @@ def path_batch(path: Column) -> Column:
 
 
 def _folder_value(path: Column, name: str) -> Column:
-    return blank_to_null(F.regexp_extract(path, rf"/{name}=([^/]+)/", 1))
+    """Value of a partition folder, whose special characters Spark writes as ``%XX``."""
+    return _decoded(blank_to_null(F.regexp_extract(path, rf"/{name}=([^/]+)/", 1)))
 
 
 def batch_time(batch: Column) -> Column:

@@ -15,30 +15,36 @@ from pyspark.sql import functions as F
 from .operators.planning import freshness, symbols_to_fetch
 from .operators.quality import outcome_tally
 from .plans import bars, events, gold, landing, weather
-from .session import get_session
+from .session import clear_scratch, get_session, staged
 from .sinks.tables import overwrite_table
 from .sources.files import list_files, weather_paths
 
 
 def run_events(spark: SparkSession, args) -> None:
     silver = events.events_to_silver(spark, args.input)
-    events.publish_events(silver, args.output, fmt=args.format, mode=args.mode)
+    events.publish_events(silver, args.output, fmt=args.format, mode=args.mode or "append")
 
 
 def run_weather(spark: SparkSession, args) -> None:
     silver = weather.weather_to_silver(spark, weather_paths(args.input, args.cities))
-    weather.publish_weather(silver, args.output, fmt=args.format, mode=args.mode)
+    weather.publish_weather(silver, args.output, fmt=args.format, mode=args.mode or "append")
 
 
 def run_bars(spark: SparkSession, args) -> None:
     result = bars.bars_to_silver(spark, args.input, args.tickers)
-    bars.publish_bars(result.silver, args.output, fmt=args.format)
+    bars.publish_bars(result.silver, args.output, fmt=args.format, mode=args.mode or "replace")
     outcome_tally(result.outcomes).show()
 
 
 def run_land(spark: SparkSession, args) -> None:
+    """Land payloads; symbols that are fresh in the target are not fetched and count as passed."""
     stamp = args.batch_ts or f"{dt.datetime.now(dt.timezone.utc):%Y%m%d_%H%M%S}"
-    outcome_tally(landing.land_payloads(spark, args.input, args.output, stamp).outcomes).show()
+    known = staged(
+        freshness(list_files(spark, args.output, "*.csv"), F.current_timestamp(), days=args.days, force_refresh=args.force_refresh),
+        "fresh",
+    )
+    result = landing.land_payloads(spark, args.input, args.output, stamp)
+    outcome_tally(landing.with_skipped(result.outcomes, known)).show()
 
 
 def run_plan(spark: SparkSession, args) -> None:
@@ -50,6 +56,8 @@ def run_plan(spark: SparkSession, args) -> None:
         )
         todo = symbols_to_fetch(wanted, known)
     else:
+        if "all" in args.cities:
+            raise SystemExit("a fetch plan needs --cities or --symbols by name")
         cities = spark.createDataFrame([(c,) for c in args.cities], "city string")
         todo = weather.plan_fetch(spark, cities, args.start_month, args.end_month, args.input)
     overwrite_table(todo, args.output, fmt=args.format)
@@ -85,8 +93,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--input", required=True)
     parser.add_argument("--output", required=True)
     parser.add_argument("--format", default="parquet")
-    parser.add_argument("--mode", choices=["replace", "append"], default="replace")
-    parser.add_argument("--cities", nargs="+", default=["London"])
+    parser.add_argument("--mode", choices=["replace", "append"])
+    parser.add_argument("--cities", nargs="+", default=["all"])
     parser.add_argument("--city")
     parser.add_argument("--tickers", nargs="+")
     parser.add_argument("--symbols", nargs="+")
@@ -102,7 +110,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
-    JOBS[args.job](get_session(f"stratalake-{args.job}"), args)
+    spark = get_session(f"stratalake-{args.job}")
+    try:
+        JOBS[args.job](spark, args)
+    finally:
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":

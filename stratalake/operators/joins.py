@@ -1,25 +1,12 @@
-"""Joins against a side that is small only most of the time."""
+"""Joins against lists of keys.
+
+No side carries a hint: the planner broadcasts one whose size in bytes it knows
+to be small, and adaptive execution splits a shuffled join where a key is hot.
+"""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A broadcast relation is held whole by every executor; this many narrow rows
-# stay well below 100 MB.
-BROADCAST_ROWS = 500_000
-
-
-def hint_by_size(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Count a pre-aggregated side and mark it for broadcast if it is small.
-
-    The count runs once and its rows are kept, so the join does not compute the
-    side again. Above the limit the side is returned as it is and the join stays
-    a shuffled one, which adaptive execution splits where a key is hot.
-    """
-    kept = side.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
 
 
 def keep_listed(df: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:

@@ -89,9 +89,28 @@ def text_lines(payload: Column) -> Column:
     return F.split(F.trim(payload, F.lit(" \t\r\n")), "\r?\n")
 
 
+# One cell of a CSV line and the comma after it: quoted with doubled quotes inside, or plain.
+CSV_CELL = r'\s*("(?:[^"]|"")*"|[^,]*)\s*,'
+
+
+def csv_cells(line: Column) -> Column:
+    """Cells of one CSV line as an array of text; quoted commas and doubled quotes are read.
+
+    Files differ in number and order of columns, so there is no one schema for
+    ``from_csv``; an array needs none.
+    """
+    raw = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(CSV_CELL), F.lit(1))
+    return F.transform(
+        raw,
+        lambda x: F.when(
+            x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+        ).otherwise(F.nullif(F.trim(x), F.lit(""))),
+    )
+
+
 def header_names(line: Column) -> Column:
-    """Column names of a CSV header line: lower case, blanks as ``_``."""
-    return F.transform(F.split(F.lower(line), ","), lambda name: F.translate(F.trim(name), " ", "_"))
+    """Column names of a CSV header line in their places: lower case, blanks as ``_``."""
+    return F.transform(csv_cells(line), lambda name: F.translate(F.trim(F.lower(name)), " ", "_"))
 
 
 def header_positions(names: Column) -> list[Column]:
@@ -100,12 +119,12 @@ def header_positions(names: Column) -> list[Column]:
     Kept as columns beside the header, so a header is parsed once per file and
     not once per line.
     """
-    return [F.array_position(names, name).cast("int").alias(f"at_{name}") for name in BAR_COLUMNS]
+    return [F.coalesce(F.array_position(names, name), F.lit(0)).cast("int").alias(f"at_{name}") for name in BAR_COLUMNS]
 
 
-def cell(line: Column, name: str) -> Column:
+def cell(cells: Column, name: str) -> Column:
     """Text under a bar column of one CSV line, null if the column is absent."""
-    return F.trim(F.get(F.split(line, ","), F.col(f"at_{name}") - 1), F.lit(' "'))
+    return F.trim(F.get(cells, F.col(f"at_{name}") - 1))
 
 
 def series_of(payload: Column) -> Column:
@@ -113,16 +132,14 @@ def series_of(payload: Column) -> Column:
     return F.from_json(payload, SERIES_TYPE)[SERIES]
 
 
-def payload_bars(payloads: DataFrame, key: str = "symbol", payload: str = "value") -> DataFrame:
-    """One row per bar of JSON or CSV payloads, every field still text.
+ITEM = "array<struct<line: string, date: string, fields: map<string, string>>>"
 
-    Both formats leave one explode: a JSON entry as its date and fields, a CSV
-    line as the line. Fields are picked afterwards, row by row.
-    """
-    lines = text_lines(F.col(payload))
-    names = header_names(F.get(lines, F.lit(0)))
+
+def payload_items(payload: Column) -> Column:
+    """Bars of a JSON or CSV payload, unparsed: a JSON entry as its date and fields, a CSV line as the line."""
+    lines = text_lines(payload)
     line_items = F.transform(
-        F.slice(lines, F.lit(2), F.size(lines)),
+        F.filter(F.slice(lines, F.lit(2), F.size(lines)), lambda line: F.trim(line) != ""),
         lambda line: F.struct(
             line.alias("line"),
             F.lit(None).cast("string").alias("date"),
@@ -130,20 +147,31 @@ def payload_bars(payloads: DataFrame, key: str = "symbol", payload: str = "value
         ),
     )
     series_items = F.transform(
-        F.map_entries(series_of(F.col(payload))),
+        F.map_entries(series_of(payload)),
         lambda entry: F.struct(
             F.lit(None).cast("string").alias("line"), entry["key"].alias("date"), entry["value"].alias("fields")
         ),
     )
-    items = payloads.select(
-        key, *header_positions(names), F.explode(F.coalesce(series_items, line_items)).alias("item")
-    )
-    line, fields = F.col("item.line"), F.col("item.fields")
-    return items.select(
-        key,
-        F.coalesce("item.date", cell(line, "timestamp")).alias("timestamp"),
+    return F.coalesce(series_items, line_items)
+
+
+def item_rows(items: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per item of ``keys…, header, items``, every field of the bar still text."""
+    spread = items.select(*keys, *header_positions(header_names(F.col("header"))), F.explode("items").alias("item"))
+    parsed = spread.withColumn("cells", csv_cells(F.col("item.line")))
+    return parsed.select(
+        *keys,
+        *[f"at_{name}" for name in BAR_COLUMNS],
+        F.coalesce("item.date", cell(F.col("cells"), "timestamp")).alias("timestamp"),
         *[
-            F.coalesce(F.try_element_at(fields, F.lit(label)), cell(line, name)).alias(name)
+            F.coalesce(F.try_element_at("item.fields", F.lit(label)), cell(F.col("cells"), name)).alias(name)
             for name, label in SERIES_FIELDS.items()
         ],
     )
+
+
+def payload_bars(payloads: DataFrame, key: str = "symbol", payload: str = "value") -> DataFrame:
+    """One row per bar of JSON or CSV payloads, every field still text."""
+    value = F.col(payload)
+    items = payloads.select(key, F.get(text_lines(value), F.lit(0)).alias("header"), payload_items(value).alias("items"))
+    return item_rows(items, [key]).select(key, *BAR_COLUMNS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import batch_time, city_folder, month_file, path_batch, path_key
+from ..functions.text import _decoded, batch_time, city_folder, month_file, path_batch, path_key
 from .calendar import MONTH, month_days, month_range
 from .joins import drop_listed, keep_listed
 from .nesting import DOCUMENT_PREFIX
@@ -41,10 +41,18 @@ def month_plan(cities: DataFrame, start_month: str, end_month: str, prefix: str
 
 
 def document_keys(files: DataFrame, prefix: str = DOCUMENT_PREFIX) -> DataFrame:
-    """Document key of every listed document, blanks in names written as ``_``."""
+    """Document key of every listed document, blanks in names written as ``_``.
+
+    A document is the file ``<month>.json`` of its year, or any JSON file in the
+    ``month=`` folder that the own writer makes. Values of folders are decoded.
+    """
     start = f"{prefix}/city="
-    key = F.translate(F.substr("path", F.instr("path", start)), " ", "_")
-    return files.filter(F.col("path").contains(start)).select(key.alias("document_key"))
+    found = files.filter(F.col("path").contains(start))
+    rest = F.substr("path", F.instr("path", start))
+    own = F.regexp_replace(rest, r"/month=(\d+)/[^/]+\.json$", "/$1.json")
+    city = _decoded(F.regexp_extract(own, r"/city=([^/]+)/", 1))
+    key = F.concat(F.lit(start), F.translate(city, " ", "_"), F.regexp_extract(own, r"/city=[^/]+(/.*)$", 1))
+    return found.select(key.alias("document_key"))
 
 
 def document_inventory(files: DataFrame, prefix: str = DOCUMENT_PREFIX) -> DataFrame:

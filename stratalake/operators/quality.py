@@ -190,10 +190,8 @@ def _to_check(row: dict, rules: Sequence[Rule]) -> Check:
     return Check(row["rows_checked"], {r.name: row[f"broken_{i}"] for i, r in enumerate(rules)})
 
 
-def check(df: DataFrame, rules: Sequence[Rule], sample_rows: int | None = None) -> Check:
-    """Evaluate all rules in one job, over all rows unless a sample is asked for."""
-    if sample_rows is not None:
-        df = df.limit(sample_rows)
+def check(df: DataFrame, rules: Sequence[Rule]) -> Check:
+    """Evaluate all rules over all rows in one job."""
     return _to_check(df.agg(*_tallies(rules)).first().asDict(), rules)
 
 

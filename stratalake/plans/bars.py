@@ -10,22 +10,37 @@ from pyspark.sql import functions as F
 
 from ..functions.scores import filled_ratio
 from ..functions.timefeatures import to_day
-from ..operators.joins import drop_listed, hint_by_size
+from ..operators.joins import drop_listed
 from ..operators.lineage import Run, stamp
-from ..operators.nesting import BAR_COLUMNS, cell, header_names, header_positions
+from ..operators.nesting import BAR_COLUMNS, item_rows, payload_items, text_lines
 from ..operators.planning import latest_batch_files
-from ..operators.quality import Rule, outcome_by_key, stage_and_check
+from ..operators.quality import QualityError, Rule, contract_gaps, outcome_by_key, repeated_keys, stage_and_check
 from ..schemas import SILVER_BARS, select_contract
-from ..session import scratch_path
+from ..session import scratch_path, staged
 from ..sinks.tables import BAR_PARTITIONS, write_partitioned
 from ..sources.files import list_files, read_text_files
-from .rules import BAR_NUMBER_RULES, BAR_NUMBERS
+from .rules import BAR_NUMBER_RULES, BAR_NUMBERS, BAR_RULES
 
 # Fixed value: name of the source in the lineage columns.
 SOURCE_SYSTEM = "AlphaVantage"
 BAR_KEYS = ("ticker", "trade_date")
 
 COLUMN_RULE = Rule("columns_present", "timestamp", "NOT columns_present")
+DAY_RULE = Rule("timestamp_is_date", "timestamp", "columns_present AND try_cast(`timestamp` AS TIMESTAMP) IS NULL")
+REPEATED_DAY = "day_unique"
+
+
+def _with_repeated_days(outcomes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Outcomes where a ticker that has a day twice fails as well."""
+    days = rows.select("ticker", to_day(F.col("timestamp")).alias("day")).filter(F.col("day").isNotNull())
+    twice = repeated_keys(days, ["ticker", "day"]).select("ticker", F.lit(True).alias("twice")).distinct()
+    reason = F.concat_ws(",", "reason", F.when(F.col("twice"), F.lit(REPEATED_DAY)))
+    return outcomes.join(twice, "ticker", "left").select(
+        "ticker",
+        F.when(F.col("twice"), F.lit("failed")).otherwise(F.col("status")).alias("status"),
+        F.nullif(reason, F.lit("")).alias("reason"),
+        "row_count",
+    )
 
 
 @dataclass(frozen=True)
@@ -36,35 +51,26 @@ class BarsResult:
     outcomes: DataFrame
 
 
-def bar_rows(lines: DataFrame) -> DataFrame:
-    """Parse ``ticker, path, value`` text lines of CSV files with header lines.
+def bar_rows(texts: DataFrame) -> DataFrame:
+    """Parse ``ticker, path, value`` whole texts of CSV files with a header line.
 
-    Columns are found by name per file. Only lines that mention a column name
-    can be headers, so the search for each file's header shuffles about one line
-    per file.
+    Columns are found by name in each file's own first line; that line is parsed
+    once and every other line once, in one pass without a join.
     """
-    mentions = F.lit(False)
-    for name in BAR_COLUMNS:
-        mentions = mentions | F.lower("value").contains(name)
-    headers = (
-        lines.filter(mentions)
-        .withColumn("line_no", F.monotonically_increasing_id())
-        .groupBy("path")
-        .agg(F.min_by("value", "line_no").alias("header"))
-        .withColumn("names", header_names(F.col("header")))
-        .select("path", "header", *header_positions(F.col("names")))
+    value = F.col("value")
+    items = texts.select(
+        "ticker", F.col("path").alias("source_file"), F.get(text_lines(value), F.lit(0)).alias("header"), payload_items(value).alias("items")
     )
-    located = lines.filter(F.trim("value") != "").join(hint_by_size(headers), "path", "left")
-    data = located.filter(F.col("header").isNull() | (F.col("value") != F.col("header")))
+    rows = item_rows(items, ["ticker", "source_file"])
     found = F.lit(True)
     for name in BAR_COLUMNS:
         found = found & (F.col(f"at_{name}") > 0)
-    return data.select(
+    return rows.select(
         "ticker",
-        F.col("path").alias("source_file"),
-        F.coalesce(found, F.lit(False)).alias("columns_present"),
-        cell(F.col("value"), "timestamp").alias("timestamp"),
-        *[cell(F.col("value"), c).try_cast("double").alias(c) for c in BAR_NUMBERS],
+        "source_file",
+        found.alias("columns_present"),
+        "timestamp",
+        *[F.col(c).try_cast("double").alias(c) for c in BAR_NUMBERS],
     )
 
 
@@ -82,10 +88,9 @@ def standardize_bars(rows: DataFrame, run: Run, record_keys: Sequence[str] | Non
 def drop_failed(rows: DataFrame, outcomes: DataFrame, key: str = "ticker") -> DataFrame:
     """Rows of the keys that passed.
 
-    Only the failed keys travel; the rows stay where they are unless more keys
-    fail than fit a broadcast.
+    Only the failed keys travel; staged, they are known to be few or many.
     """
-    failed = hint_by_size(outcomes.filter("status = 'failed'").select(key))
+    failed = staged(outcomes.filter("status = 'failed'").select(key), "failed")
     return drop_listed(rows, failed, [key])
 
 
@@ -97,16 +102,18 @@ def bars_to_silver(
 ) -> BarsResult:
     """Standardise the newest file of every ticker (or of the named ones).
 
-    One scan reads all files. A ticker whose file lacks a column, has no rows or
-    holds an unreadable number fails as a whole; the others go on.
+    One scan reads all files. A ticker whose file lacks a column, is empty, has no
+    rows, holds an unreadable number or day, or has a day twice fails as a whole;
+    the others go on. What is left keeps the contract of the table.
     """
     allowed = None
     if tickers is not None:
         allowed = F.broadcast(spark.createDataFrame([(t,) for t in tickers], "ticker string"))
-    files = latest_batch_files(list_files(spark, root, "*.csv"), allowed=allowed)
-    rows = bar_rows(read_text_files(spark, root, files, "ticker"))
-    staged, _ = stage_and_check(rows, BAR_NUMBER_RULES, scratch_path(spark, "bars"))
-    by_ticker = outcome_by_key(staged, [COLUMN_RULE, *BAR_NUMBER_RULES], "ticker")
+    files = staged(latest_batch_files(list_files(spark, root, "*.csv"), allowed=allowed), "newest")
+    rows = bar_rows(read_text_files(spark, root, files, "ticker", whole=True))
+    held, _ = stage_and_check(rows, BAR_NUMBER_RULES, scratch_path(spark, "bars"))
+    by_ticker = outcome_by_key(held, [COLUMN_RULE, *BAR_NUMBER_RULES, DAY_RULE], "ticker")
+    by_ticker = staged(_with_repeated_days(by_ticker, held), "outcomes")
     outcomes = (
         files.select("ticker")
         .distinct()
@@ -118,8 +125,15 @@ def bars_to_silver(
             F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
         )
     )
-    return BarsResult(standardize_bars(drop_failed(staged, by_ticker), run or Run()), outcomes)
+    silver = standardize_bars(drop_failed(held, by_ticker), run or Run())
+    gaps = contract_gaps(silver, SILVER_BARS)
+    if gaps:
+        raise QualityError(f"bars: {gaps}")
+    silver, result = stage_and_check(silver, BAR_RULES, scratch_path(spark, "silver-bars"))
+    result.require("bars")
+    return BarsResult(silver, outcomes)
 
 
 def publish_bars(silver: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "replace") -> None:
-    write_partitioned(silver, path, BAR_PARTITIONS, fmt=fmt, mode=mode, sort_by=["trade_date"])
+    """A ticker's newest file holds its whole history, so it replaces the ticker; ``append`` adds new days."""
+    write_partitioned(silver, path, BAR_PARTITIONS, fmt=fmt, mode=mode, keys=["record_id"], sort_by=["trade_date"])

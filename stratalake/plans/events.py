@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from ..functions.scores import event_confidence
 from ..functions.text import blank_to_null, category_levels
 from ..functions.timefeatures import to_event_time
 from ..operators.lineage import Run, stamp
-from ..operators.quality import QualityError, missing_columns, stage_and_check
+from ..operators.quality import QualityError, breaks_any, broken_rules, contract_gaps, missing_columns, stage_and_check
 from ..schemas import RAW_EVENTS, SILVER_EVENTS, select_contract
 from ..session import scratch_path
 from ..sinks.tables import EVENT_PARTITIONS, write_partitioned
@@ -60,6 +61,33 @@ def standardize_events(
     return select_contract(stamped, SILVER_EVENTS)
 
 
+@dataclass(frozen=True)
+class EventsResult:
+    """Events that keep the contract, and the others with the rules they break."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+
+
+def split_events(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    run: Run | None = None,
+    record_keys: Sequence[str] | None = EVENT_KEYS,
+    max_rejected: float = 1.0,
+) -> EventsResult:
+    """Read and standardise all events below a path once and part them by the contract.
+
+    Raises if more than ``max_rejected`` of the rows break it, for a missing path
+    or missing columns, and if there are no rows.
+    """
+    held, result = _held_events(spark, path, run, record_keys)
+    rejected = held.filter(breaks_any(EVENT_RULES)).withColumn("broken_rules", broken_rules(EVENT_RULES))
+    if max_rejected < 1 and rejected.count() > max_rejected * result.rows:
+        result.require("events")
+    return EventsResult(held.filter(~breaks_any(EVENT_RULES)), rejected)
+
+
 def events_to_silver(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -71,22 +99,33 @@ def events_to_silver(
     Returns the checked table. Raises for a missing path, missing columns, no
     rows, or any row that breaks the contract.
     """
+    held, result = _held_events(spark, path, run, record_keys)
+    result.require("events")
+    return held
+
+
+def _held_events(spark: SparkSession, path: str | Sequence[str], run: Run | None, record_keys: Sequence[str] | None):
     raw = read_csv(spark, path)
     absent = missing_columns(raw, RAW_EVENTS.fieldNames())
     if absent:
         raise QualityError(f"events: missing columns {absent}")
     silver = standardize_events(raw, run or Run(), F.col("_metadata.file_path"), record_keys)
-    staged, result = stage_and_check(silver, EVENT_RULES, scratch_path(spark, "events"))
+    gaps = contract_gaps(silver, SILVER_EVENTS)
+    if gaps:
+        raise QualityError(f"events: {gaps}")
+    held, result = stage_and_check(silver, EVENT_RULES, scratch_path(spark, "events"))
     if result.rows == 0:
         raise QualityError("events: no rows")
-    result.require("events")
-    return staged
+    return held, result
 
 
 def publish_events(
-    silver: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "replace", rebalance: bool = True
+    silver: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "append", rebalance: bool = True
 ) -> None:
-    """Write by month and type; time order inside each file serves period filters."""
+    """Add the events the table does not hold yet, by month and type.
+
+    Time order inside each file serves period filters.
+    """
     write_partitioned(
-        silver, path, EVENT_PARTITIONS, fmt=fmt, mode=mode, sort_by=["event_time"], rebalance=rebalance
+        silver, path, EVENT_PARTITIONS, fmt=fmt, mode=mode, keys=["record_id"], sort_by=["event_time"], rebalance=rebalance
     )

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import path_key
 from ..operators.joins import drop_listed
-from ..operators.nesting import BAR_COLUMNS, header_names, payload_bars, series_of, text_lines
+from ..operators.nesting import BAR_COLUMNS, header_names, item_rows, payload_bars, payload_items, series_of, text_lines
 from ..operators.quality import outcome_by_key, stage_and_check
-from ..session import scratch_path
+from ..session import scratch_path, staged
 from ..sinks.tables import write_bar_files
 from ..sources.files import list_files, read_text_files
 from .bars import drop_failed
@@ -32,13 +32,14 @@ def payload_problem(payload: Column) -> Column:
     for text in ERROR_TEXTS:
         error_text = error_text | payload.contains(text)
     return (
-        F.when(is_json & series.isNull(), F.lit("no series"))
+        F.when(F.trim(F.coalesce(payload, F.lit(""))) == "", F.lit("empty"))
+        .when(is_json & series.isNull(), F.lit("no series"))
         .when(is_json & (F.size(series) == 0), F.lit("too short"))
         .when(is_json, F.lit(None))
         .when(error_text, F.lit("error message"))
         .when(F.size(lines) < 2, F.lit("too short"))
         .when(F.size(F.array_except(expected, names)) > 0, F.lit("missing columns"))
-        .when(F.size(F.array_except(names, expected)) > 0, F.lit("unexpected columns"))
+        .when(F.size(F.array_except(F.array_compact(names), expected)) > 0, F.lit("unexpected columns"))
     )
 
 
@@ -53,20 +54,25 @@ class LandingResult:
 def inspect_payloads(payloads: DataFrame) -> LandingResult:
     """Check payloads and their bars; a symbol with any problem fails as a whole.
 
-    The bars are parsed once, into a columnar copy that the check per symbol and
-    the landing both read.
+    Each payload is judged and cut into bars once; that columnar copy serves the
+    refusals, the check per symbol and the landing.
     """
-    judged = payloads.withColumn("problem", payload_problem(F.col("value")))
-    refused = judged.filter(F.col("problem").isNotNull()).select(
+    value = F.col("value")
+    judged = payloads.withColumn("problem", payload_problem(value))
+    cut = judged.select(
+        "symbol", "problem", F.get(text_lines(value), F.lit(0)).alias("header"), F.when(F.col("problem").isNull(), payload_items(value)).alias("items")
+    )
+    held = staged(cut, "payloads")
+    refused = held.filter(F.col("problem").isNotNull()).select(
         "symbol",
         F.lit("failed").alias("status"),
         F.col("problem").alias("reason"),
         F.lit(0).cast("bigint").alias("row_count"),
     )
-    bars = payload_bars(judged.filter(F.col("problem").isNull()))
-    staged, _ = stage_and_check(bars, LANDED_BAR_RULES, scratch_path(payloads.sparkSession, "payload-bars"))
-    outcomes = _per_symbol(outcome_by_key(staged, LANDED_BAR_RULES, "symbol").unionByName(refused))
-    return LandingResult(drop_failed(staged, outcomes, "symbol"), outcomes)
+    bars = item_rows(held.filter(F.col("problem").isNull()), ["symbol"]).select("symbol", *BAR_COLUMNS)
+    checked, _ = stage_and_check(bars, LANDED_BAR_RULES, scratch_path(payloads.sparkSession, "payload-bars"))
+    outcomes = staged(_per_symbol(outcome_by_key(checked, LANDED_BAR_RULES, "symbol").unionByName(refused)), "outcomes")
+    return LandingResult(drop_failed(checked, outcomes, "symbol"), outcomes)
 
 
 def _per_symbol(outcomes: DataFrame) -> DataFrame:
@@ -91,8 +97,10 @@ def with_skipped(outcomes: DataFrame, fresh: DataFrame) -> DataFrame:
 
 def land_payloads(spark: SparkSession, payload_root: str, target: str, batch_ts: str) -> LandingResult:
     """Read one payload per file, land the good ones as CSV under the batch stamp."""
-    files = list_files(spark, payload_root).select(path_key(F.col("path")).alias("symbol"), "path")
-    result = inspect_payloads(read_text_files(spark, payload_root, files, "symbol", whole=True))
+    files = list_files(spark, payload_root).select(path_key(F.col("path")).alias("symbol"), "path", "length")
+    texts = read_text_files(spark, payload_root, files, "symbol", whole=True).select("symbol", "value")
+    empty = files.filter("length = 0").select("symbol", F.lit("").alias("value"))
+    result = inspect_payloads(texts.unionByName(empty))
     write_bar_files(result.bars.select("symbol", *BAR_COLUMNS), target, batch_ts)
     return result
 

@@ -4,22 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scores import weather_confidence
 from ..functions.text import slug
 from ..functions.timefeatures import to_day
-from ..operators.nesting import DOCUMENT_PREFIX, document_days
-from ..operators.planning import document_keys, missing_months
-from ..operators.quality import stage_and_check
-from ..schemas import SILVER_WEATHER, select_contract
-from ..session import scratch_path
+from ..operators.lineage import Run
+from ..operators.nesting import DOCUMENT_PREFIX, document_days, monthly_documents
+from ..operators.planning import days_to_fetch, document_keys, missing_months
+from ..operators.quality import QualityError, contract_gaps, stage_and_check
+from ..schemas import SILVER_WEATHER, WEATHER_DOCUMENT, select_contract
+from ..session import scratch_path, staged
 from ..sinks.tables import WEATHER_PARTITIONS, write_documents, write_partitioned
-from ..sources.files import list_files, read_weather_documents
+from ..sources.files import list_files, read_document_texts, read_weather_documents
 from .rules import WEATHER_RULES
 
 
+def whole_number(value: Column) -> Column:
+    """An integer, or null for a value with a fraction, which the rules then find out of range.
+
+    -1 stands for such a value: rounding it off would let it pass.
+    """
+    return F.when(value == F.floor(value), value.try_cast("int")).when(value.isNotNull(), F.lit(-1))
+
+
 def standardize_weather(documents: DataFrame) -> DataFrame:
     """Flatten documents to one typed and scored row per city and day."""
     flat = document_days(documents).select(
@@ -31,7 +40,7 @@ def standardize_weather(documents: DataFrame) -> DataFrame:
         F.col("day.lon").alias("longitude"),
         F.col("day.temperature.afternoon").alias("temperature_celsius"),
         F.col("day.pressure.afternoon").try_cast("bigint").alias("pressure_hpa"),
-        F.col("day.humidity.afternoon").try_cast("int").alias("humidity_percent"),
+        whole_number(F.col("day.humidity.afternoon")).alias("humidity_percent"),
         F.col("day.cloud_cover.afternoon").alias("cloud_cover_percent"),
         F.col("day.precipitation.total").alias("precipitation_mm"),
         F.col("metadata.source").alias("source_system"),
@@ -39,16 +48,47 @@ def standardize_weather(documents: DataFrame) -> DataFrame:
     return select_contract(flat.withColumn("data_confidence_score", weather_confidence()), SILVER_WEATHER)
 
 
+def document_outcomes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Per document file whether its readings can become rows, with the reason if not."""
+    files = read_document_texts(spark, paths)
+    data = F.from_json("value", WEATHER_DOCUMENT, {"mode": "PERMISSIVE"})["data"]
+    days = F.coalesce(data["data"], F.array())
+    undated = F.size(F.filter(days, lambda d: to_day(d["date"]).isNull()))
+    parsed = files.select(
+        "path", F.try_parse_json("value").isNotNull().alias("is_json"), data["metadata"].isNotNull().alias("has_metadata"),
+        F.size(days).cast("bigint").alias("row_count"), undated.alias("undated"),
+    )
+    reason = (
+        F.when(~F.col("is_json"), F.lit("unreadable"))
+        .when(~F.col("has_metadata"), F.lit("no metadata"))
+        .when(F.col("row_count") == 0, F.lit("no readings"))
+        .when(F.col("undated") > 0, F.lit("reading without a date"))
+    )
+    return parsed.select(
+        "path", F.when(reason.isNull(), F.lit("passed")).otherwise(F.lit("failed")).alias("status"), reason.alias("reason"), "row_count"
+    )
+
+
 def weather_to_silver(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Read, standardise and check all documents below the paths."""
+    """Read, standardise and check all documents below the paths.
+
+    A document that cannot be read, or a reading without a date, raises.
+    """
+    unreadable = document_outcomes(spark, paths).filter("status = 'failed'").limit(5).collect()
+    if unreadable:
+        raise QualityError(f"weather: {[(r.path, r.reason) for r in unreadable]}")
     silver = standardize_weather(read_weather_documents(spark, paths))
-    staged, result = stage_and_check(silver, WEATHER_RULES, scratch_path(spark, "weather"))
+    gaps = contract_gaps(silver, SILVER_WEATHER)
+    if gaps:
+        raise QualityError(f"weather: {gaps}")
+    held, result = stage_and_check(silver, WEATHER_RULES, scratch_path(spark, "weather"))
     result.require("weather")
-    return staged
+    return held
 
 
-def publish_weather(silver: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "replace") -> None:
-    write_partitioned(silver, path, WEATHER_PARTITIONS, fmt=fmt, mode=mode, sort_by=["observation_date"])
+def publish_weather(silver: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "append") -> None:
+    """Add the days the table does not hold yet, by city and year."""
+    write_partitioned(silver, path, WEATHER_PARTITIONS, fmt=fmt, mode=mode, keys=["observation_date"], sort_by=["observation_date"])
 
 
 def plan_fetch(
@@ -59,6 +99,22 @@ def plan_fetch(
     return missing_months(cities, stored, start_month, end_month)
 
 
+def fetch_cycle(
+    spark: SparkSession, cities: DataFrame, readings: DataFrame, start_month: str, end_month: str, root: str, run: Run | None = None
+) -> DataFrame:
+    """Plan, land the planned readings as documents, and tell the outcome per planned day.
+
+    ``readings`` is what the fetch delivered; months that are stored already are
+    neither planned nor written again.
+    """
+    planned = staged(days_to_fetch(plan_fetch(spark, cities, start_month, end_month, f"{root.rstrip('/')}/{DOCUMENT_PREFIX}")), "planned")
+    outcomes = staged(fetch_outcomes(planned.select("city", "year", "month", "date"), readings), "fetch-outcomes")
+    dated = readings.withColumn("planned_day", to_day(F.col("date")))
+    wanted = planned.select("city", F.col("date").alias("planned_day"))
+    land_documents(monthly_documents(dated.join(wanted, ["city", "planned_day"], "left_semi").drop("planned_day"), run or Run()), root)
+    return outcomes
+
+
 def fetch_outcomes(planned_days: DataFrame, readings: DataFrame) -> DataFrame:
     """Per planned day whether a reading arrived, with the reason if not."""
     arrived = readings.select("city", to_day(F.col("date")).alias("date"), F.lit(True).alias("arrived")).distinct()

@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Day boundaries, month partitions and parsed time stamps all follow the session
 # zone, so it is pinned. Dynamic overwrite makes a partitioned publish replace
@@ -36,6 +36,10 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Intermediate tables of this process, for clear_scratch.
+_scratch: list[str] = []
+
+
 @functools.lru_cache(maxsize=1)
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="stratalake-")
@@ -53,4 +57,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = _local_scratch()
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame once into the shared folder and go on from that copy.
+
+    The planner then knows its size in bytes, so a join broadcasts it only if it
+    is small, and a lost executor costs a re-read.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables made so far; call it when results are published."""
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

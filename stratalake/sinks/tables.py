@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,17 +21,19 @@ def write_partitioned(
     partitions: Sequence[str],
     *,
     fmt: str = "parquet",
-    mode: str = "replace",
+    mode: str = "append",
+    keys: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     rebalance: bool = True,
     options: dict[str, str] | None = None,
 ) -> None:
     """Publish a table in folders by partition value.
 
-    ``replace`` overwrites exactly the partitions held by ``df`` and leaves the
-    others alone, so a repeated run changes nothing; ``df`` must hold those
-    partitions whole. ``append`` adds rows, as for a batch that holds part of a
-    partition, and adds them again when repeated.
+    ``append`` adds rows. With ``keys`` it adds only those whose key the table
+    does not hold yet, compared within the partitions ``df`` touches, so a batch
+    may hold part of a partition and a repeated run changes nothing. ``replace``
+    is for batches that hold their partitions whole: it overwrites exactly those
+    and leaves the others alone.
 
     Rows are rebalanced by partition value first: small partitions share a task
     and get few files, a partition with most of the rows is split over many
@@ -40,6 +43,8 @@ def write_partitioned(
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown mode {mode!r}")
+    if mode == "append" and keys:
+        df = _not_held(df, path, partitions, keys, fmt)
     spread = df.hint("rebalance", *partitions) if rebalance else df
     writer = spread.sortWithinPartitions(*partitions, *sort_by).write.format(fmt).partitionBy(*partitions).options(**(options or {}))
     if mode == "replace":
@@ -48,6 +53,22 @@ def write_partitioned(
         writer.mode("append").save(path)
 
 
+def _not_held(df: DataFrame, path: str, partitions: Sequence[str], keys: Sequence[str], fmt: str) -> DataFrame:
+    """Rows whose key is not among the stored rows of the same partition."""
+    try:
+        stored = df.sparkSession.read.format(fmt).load(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_PATH_DOES_NOT_EXIST", "DELTA_MISSING_DELTA_TABLE"):
+            raise
+        return df
+    by = list(dict.fromkeys([*partitions, *keys]))
+    touched = df.select(*partitions).distinct()  # prunes the folders that are read
+    held = stored.select(*[F.col(c).cast(df.schema[c].dataType).alias(c) for c in by]).join(touched, list(partitions), "left_semi")
+    held = held.withColumnsRenamed({c: f"held_{c}" for c in by})
+    match = [F.col(c).eqNullSafe(F.col(f"held_{c}")) for c in by]
+    return df.join(held, match, "left_anti")
+
+
 def overwrite_table(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
     """Replace a table and its columns."""
     writer = df.write.format(fmt).mode("overwrite")
@@ -61,14 +82,14 @@ def write_documents(documents: DataFrame, path: str) -> None:
     keyed = documents.withColumns(
         {"city": F.translate(F.lower("city"), " ", "_"), "month": F.lpad(F.col("month").cast("string"), 2, "0")}
     )
-    write_partitioned(keyed, path, DOCUMENT_PARTITIONS, fmt="json")
+    write_partitioned(keyed, path, DOCUMENT_PARTITIONS, fmt="json", mode="replace")
 
 
 def write_bar_files(bars: DataFrame, path: str, batch_ts: str) -> None:
     """CSV files per symbol under the stamp of the batch that fetched them."""
     stamped = bars.withColumn("batch_ts", F.lit(batch_ts))
     write_partitioned(
-        stamped, path, LANDING_PARTITIONS, fmt="csv", sort_by=["timestamp"], options={"header": "true"}
+        stamped, path, LANDING_PARTITIONS, fmt="csv", mode="replace", sort_by=["timestamp"], options={"header": "true"}
     )
 
 

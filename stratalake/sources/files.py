@@ -9,29 +9,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.text import file_name, path_key
-from ..operators.joins import hint_by_size
+from ..functions.text import plain_path
 from ..schemas import WEATHER_DOCUMENT
-
-# Up to this many selected files are named to the scan; the session's own file
-# index already holds the path of every file it reads.
-NAMED_FILES = 20_000
+from ..session import staged
 
 
 def list_files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """Paths below a folder; no content is read.
+    """Plain paths below a folder with their sizes; no content is read.
 
-    A missing folder lists nothing, and a file of zero bytes counts as not landed.
+    Files of zero bytes are listed too: a scan would pass over them, so names
+    come from the file index, which the driver holds for any scan. A missing
+    folder lists nothing.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     try:
-        return reader.load(root).select("path", "length", "modificationTime")
+        files = reader.load(root)
+        names = [(name,) for name in files.inputFiles()]
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "path string, length long, modificationTime timestamp")
+    listed = files.select(plain_path(F.col("path")).alias("path"), "length", "modificationTime")
+    named = spark.createDataFrame(names, "name string").select(plain_path(F.col("name"), encoded=True).alias("path"))
+    return named.join(listed, "path", "left").select(
+        "path", F.coalesce("length", F.lit(0).cast("long")).alias("length"), "modificationTime"
+    )
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -58,11 +62,27 @@ def read_weather_documents(spark: SparkSession, paths: str | Sequence[str]) -> D
     )
 
 
+def read_document_texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``path, value``: the whole text of every document, readable or not."""
+    text = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True)
+    return text.select(plain_path(F.col("_metadata.file_path"), encoded=True).alias("path"), "value")
+
+
+# Fixed value: characters that Spark writes as %XX in the names of partition folders.
+_ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
+
+
+def _folder(name: str) -> str:
+    """Folder value of a city, with the characters of a glob pattern quoted."""
+    written = "".join(f"%{ord(c):02X}" if c in _ESCAPED or c < " " else c for c in name.lower().replace(" ", "_"))
+    return "".join(f"\\{c}" if c in "{}*?[]\\" else c for c in written)
+
+
 def weather_paths(root: str, cities: Sequence[str]) -> list[str]:
     """Folders of the named cities, or of every city for ``all``."""
     if "all" in cities:
         return [f"{root}/city=*/year=*/"]
-    return [f"{root}/city={name.lower().replace(' ', '_')}/year=*/" for name in cities]
+    return [f"{root}/city={_folder(name)}/year=*/" for name in cities]
 
 
 def only_cities(df: DataFrame, cities: Sequence[str], column: str = "city") -> DataFrame:
@@ -75,22 +95,18 @@ def only_cities(df: DataFrame, cities: Sequence[str], column: str = "city") -> D
 def read_text_files(spark: SparkSession, root: str, files: DataFrame, key: str, whole: bool = False) -> DataFrame:
     """Lines (or whole texts) of the listed files: ``key, path, value``.
 
-    ``files`` has ``key`` and ``path``. A short list is named to the scan, so
-    nothing else is opened; a longer one is joined to a scan of the folder.
+    ``files`` has ``key`` and plain ``path``. The folder is scanned and met with
+    the list by path, whatever the number of files; the list is staged, so the
+    planner knows whether it is small enough to be sent to the scan.
     """
-
-    def scan(paths) -> DataFrame:
-        text = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=whole)
-        path = F.col("_metadata.file_path")
-        return text.select(path_key(path).alias(key), file_name(path).alias("file"), path.alias("path"), "value")
-
-    named = [row["path"] for row in files.select("path").limit(NAMED_FILES + 1).collect()]
-    if not named:
+    try:
+        text = spark.read.option("recursiveFileLookup", "true").text(root, wholetext=whole)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], f"{key} string, path string, value string")
-    if len(named) <= NAMED_FILES:
-        return scan(named).drop("file")
-    wanted = files.select(key, file_name(F.col("path")).alias("file"))
-    return scan(root).join(hint_by_size(wanted), [key, "file"], "left_semi").drop("file")
+    located = text.select(plain_path(F.col("_metadata.file_path"), encoded=True).alias("path"), "value")
+    return located.join(staged(files.select(key, "path"), "files"), "path").select(key, "path", "value")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:

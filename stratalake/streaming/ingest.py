@@ -1,7 +1,7 @@
 """Raw events to the standardised table, file by file as they arrive.
 
-The stream's checkpoint remembers which files were read, so an append never
-repeats rows; this is the incremental counterpart of a full ``replace``.
+The stream's checkpoint remembers which files were read; this is the incremental
+counterpart of a batch publish and writes the same kind of table.
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.lineage import Run
-from ..operators.quality import quarantine, without_broken
-from ..plans.events import standardize_events
+from ..operators.quality import breaks_any, broken_rules
+from ..plans.events import publish_events, standardize_events
 from ..plans.rules import EVENT_RULES
 from ..schemas import RAW_EVENTS
-from ..sinks.tables import EVENT_PARTITIONS
+from ..session import staged
 
 
 def read_event_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
@@ -28,29 +28,25 @@ def read_event_stream(spark: SparkSession, root: str, files_per_batch: int = 100
     )
 
 
-def _append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Rebalanced like a batch publish: few files per partition, hot ones split."""
-    return (
-        df.hint("rebalance", *EVENT_PARTITIONS)
-        .writeStream.format("parquet")
-        .partitionBy(*EVENT_PARTITIONS)
-        .option("checkpointLocation", checkpoint)
-        .option("path", path)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
 def ingest_events(
     spark: SparkSession, root: str, target: str, rejected: str, checkpoint: str, run: Run | None = None
-) -> list[StreamingQuery]:
+) -> StreamingQuery:
     """Append all new files: good rows to the table, the others to ``rejected``.
 
-    ``checkpoint`` must lie in storage all executors reach and stay the same
-    from run to run.
+    Each micro-batch is staged once, and both parts go through the writer of the
+    batch pipeline, which adds only what the table does not hold: a batch that is
+    repeated after a failure changes nothing, and tables that batches have
+    written go on growing. ``checkpoint`` must lie in storage all executors reach
+    and stay the same from run to run.
     """
     silver = standardize_events(read_event_stream(spark, root), run or Run(), F.col("_metadata.file_path"))
-    return [
-        _append(without_broken(silver, EVENT_RULES), target, f"{checkpoint}/accepted"),
-        _append(quarantine(silver, EVENT_RULES), rejected, f"{checkpoint}/rejected"),
-    ]
+
+    def publish(batch: DataFrame, number: int) -> None:
+        held = staged(batch, "stream-batch")
+        publish_events(held.filter(~breaks_any(EVENT_RULES)), target)
+        refused = held.filter(breaks_any(EVENT_RULES)).withColumn("broken_rules", broken_rules(EVENT_RULES))
+        publish_events(refused, rejected)
+
+    return (
+        silver.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from stratalake.sources import files as sources
 
 RUN = Run("batch", dt.datetime(2024, 1, 10, 12))
 HEADER = "timestamp,open,high,low,close,volume"
-GOOD = "2024-01-01,100.0,105.0,95.0,102.0,1000"
+GOOD = "2024-01-01,50.0,54.5,48.0,52.0,700"
 
 
 def drop(root, symbol, stamp, *lines):
@@ -32,7 +33,7 @@ def test_one_bar(spark, tmp_path):
     assert contract_gaps(result.silver, SILVER_BARS) == []
     row = result.silver.first()
     assert (row.ticker, row.trade_date, row.effective_from) == ("AAPL", dt.date(2024, 1, 1), dt.date(2024, 1, 1))
-    assert (row.open_price, row.high_price, row.low_price, row.close_price, row.volume) == (100, 105, 95, 102, 1000)
+    assert (row.open_price, row.high_price, row.low_price, row.close_price, row.volume) == (50, 54.5, 48, 52, 700)
     assert (row.completeness_score, row.data_confidence) == (1.0, 1.0)
     assert row.effective_to is None and row.source_system == "AlphaVantage"
     assert row.source_file.endswith("AAPL/20240102_000000.csv")
@@ -41,21 +42,28 @@ def test_one_bar(spark, tmp_path):
 
 def test_bad_tickers_do_not_stop_the_others(spark, tmp_path):
     drop(tmp_path, "GOOD", "20240102_000000", HEADER, GOOD, "")
-    drop(tmp_path, "INVALID", "20240102_000000", HEADER, GOOD, ",".join(["invalid"] * 6))
+    drop(tmp_path, "BADNUM", "20240102_000000", HEADER, GOOD, ",".join(["n/a"] * 6))
     drop(tmp_path, "NOCOL", "20240102_000000", "timestamp,open,high,low,close", "2024-01-01,1,2,3,4")
     drop(tmp_path, "EMPTY", "20240102_000000", HEADER)
-    drop(tmp_path, "BLANK", "20240102_000000", "")  # zero bytes: not listed
+    drop(tmp_path, "BLANK", "20240101_000000", HEADER, GOOD)
+    drop(tmp_path, "BLANK", "20240102_000000", "")  # zero bytes: the newest file all the same
+    drop(tmp_path, "TWICE", "20240102_000000", HEADER, GOOD, GOOD)
+    drop(tmp_path, "QUOTED", "20240102_000000", '"timestamp", "Open","high","low","close","volume","note, long"', '2024-01-05,"1",2,0.5,"1.5",3,"a, b"')
     drop(tmp_path, "ORDER", "20240102_000000", "volume,close,low,high,open,timestamp", "7,4,3,5,2,2024-01-03")
     result = plan.bars_to_silver(spark, str(tmp_path), run=RUN)
     assert outcomes(result) == {
         "GOOD": ("passed", None, 1),
-        "INVALID": ("failed", "open_not_null,high_not_null,low_not_null,close_not_null,volume_not_null", 2),
+        "BADNUM": ("failed", "open_not_null,high_not_null,low_not_null,close_not_null,volume_not_null,timestamp_is_date", 2),
         "NOCOL": ("failed", "columns_present,volume_not_null", 1),
         "EMPTY": ("failed", "no rows", 0),
         "ORDER": ("passed", None, 1),
+        "BLANK": ("failed", "no rows", 0),
+        "TWICE": ("failed", "day_unique", 2),
+        "QUOTED": ("passed", None, 1),
     }
     rows = {r.ticker: r for r in result.silver.collect()}
-    assert set(rows) == {"GOOD", "ORDER"}
+    assert set(rows) == {"GOOD", "ORDER", "QUOTED"}
+    assert (rows["QUOTED"].close_price, rows["QUOTED"].volume) == (1.5, 3)
     ordered = rows["ORDER"]
     assert (ordered.open_price, ordered.close_price, ordered.volume, ordered.trade_date) == (
         2.0,
@@ -67,7 +75,7 @@ def test_bad_tickers_do_not_stop_the_others(spark, tmp_path):
 
 def test_newest_file_and_allow_list(spark, tmp_path):
     for symbol in ("AAPL", "MSFT", "GOOGL"):
-        drop(tmp_path, symbol, "20240101_000000", HEADER, GOOD, GOOD)
+        drop(tmp_path, symbol, "20240101_000000", HEADER, GOOD, GOOD.replace("01-01", "01-02"))
         drop(tmp_path, symbol, "20240103_000000", HEADER, GOOD)
     (tmp_path / "MSFT" / "20240109_000000.txt").write_text("not a table")
     files = sources.list_files(spark, str(tmp_path))
@@ -84,16 +92,38 @@ def test_empty_folder(spark, tmp_path):
     assert result.silver.count() == 0 and result.outcomes.count() == 0
 
 
-def test_long_file_lists_are_joined(spark, tmp_path, monkeypatch):
-    """Beyond the limit of named files the folder is scanned and joined."""
-    for symbol in ("A", "B", "C"):
-        drop(tmp_path, symbol, "20240101_000000", HEADER, GOOD, GOOD)
-        drop(tmp_path, symbol, "20240103_000000", HEADER, GOOD)
-    named = plan.bars_to_silver(spark, str(tmp_path), run=RUN)
-    monkeypatch.setattr(sources, "NAMED_FILES", 1)
-    joined = plan.bars_to_silver(spark, str(tmp_path), run=RUN)
-    assert outcomes(named) == outcomes(joined)
-    assert sorted(map(str, named.silver.collect())) == sorted(map(str, joined.silver.collect()))
+ODD = ["^GSPC", "BRK B", "X[1]", "A+B%", "O'X", "y{z}", "50%25"]
+
+
+def test_odd_symbols_keep_their_name(spark, tmp_path):
+    """Payload folders, landed partitions and the flat layout: one key everywhere."""
+    for symbol in ODD:
+        drop(tmp_path / "flat", symbol, "20240110_110000", HEADER, GOOD)
+        (tmp_path / "in" / symbol).mkdir(parents=True)
+        (tmp_path / "in" / symbol / "payload").write_text(f"{HEADER}\n{GOOD}")
+    landed = landing.land_payloads(spark, str(tmp_path / "in"), str(tmp_path / "out"), "20240110_110000")
+    assert sorted(r.symbol for r in landed.outcomes.collect()) == sorted(ODD)
+    for folder in ("flat", "out"):
+        root = str(tmp_path / folder)
+        known = freshness(sources.list_files(spark, root, "*.csv"), RUN.timestamp())
+        assert sorted(r.symbol for r in known.filter("fresh").collect()) == sorted(ODD)
+        result = plan.bars_to_silver(spark, root, run=RUN)
+        assert outcomes(result) == {s: ("passed", None, 1) for s in ODD}
+        assert sorted(r.ticker for r in result.silver.collect()) == sorted(ODD)
+        assert outcomes(plan.bars_to_silver(spark, root, tickers=ODD[:2], run=RUN)) == {s: ("passed", None, 1) for s in ODD[:2]}
+
+
+def test_many_files_have_the_plan_of_few(spark, tmp_path):
+    def shape(n):
+        for i in range(n):
+            drop(tmp_path / str(n), f"S{i}", "20240101_000000", HEADER, GOOD)
+        files = latest_batch_files(sources.list_files(spark, str(tmp_path / str(n)), "*.csv"))
+        text = sources.read_text_files(spark, str(tmp_path / str(n)), files, "ticker", whole=True)
+        assert text.count() == n
+        plan_text = text._jdf.queryExecution().executedPlan().toString()
+        return sorted(set(re.findall(r"BroadcastHashJoin|SortMergeJoin|Scan \w+", plan_text)))
+
+    assert shape(2) == shape(60) == ["BroadcastHashJoin", "Scan parquet", "Scan text"]
 
 
 def test_a_batch_of_many_files_is_read_whole(spark):
@@ -175,7 +205,7 @@ def test_payload_rows(spark):
     assert got == {
         ("J", "2024-01-02"): (10.5, 10.75, 123),
         ("J", "2024-01-03"): (9.5, 9.25, 7),
-        ("C", "2024-01-01"): (100.0, 102.0, 1000),
+        ("C", "2024-01-01"): (50.0, 52.0, 700),
     }
 
 

@@ -24,9 +24,9 @@ def values(df):
 @pytest.mark.parametrize(
     "code, levels",
     [
-        ("electronics.telephone.wireless", ("electronics", "telephone", "wireless")),
-        ("computers.desktop", ("computers", "desktop", None)),
-        ("home", ("home", None, None)),
+        ("garden.tools.spade", ("garden", "tools", "spade")),
+        ("toys.dice", ("toys", "dice", None)),
+        ("office", ("office", None, None)),
         ("a.b.c.d", ("a", "b", "c")),
         ("a..c", ("a", "", "c")),
         ("", (None, None, None)),
@@ -41,13 +41,14 @@ def test_category_levels(spark, code, levels):
 @pytest.mark.parametrize(
     "category, brand, score",
     [
-        ("electronics", "apple", 1.0),
-        ("electronics", "", 0.6),
-        ("electronics", None, 0.6),
-        ("", "apple", 0.4),
-        (None, "apple", 0.4),
-        ("", "", 0.0),
         (None, None, 0.0),
+        ("", "", 0.0),
+        ("", None, 0.0),
+        (None, "fiskar", 0.4),
+        ("", "fiskar", 0.4),
+        ("garden", None, 0.6),
+        ("garden", "", 0.6),
+        ("garden", "fiskar", 1.0),
     ],
 )
 def test_event_confidence(spark, category, brand, score):

@@ -1,21 +1,11 @@
 from pyspark.sql import functions as F
 
-from stratalake.operators.joins import drop_listed, hint_by_size, keep_listed
+from stratalake.operators.joins import drop_listed, keep_listed
 from stratalake.operators.quality import not_null, outcome_by_key
 from stratalake.plans import bars as plan
 from stratalake.plans.landing import with_skipped
 
 
-def analyzed(df):
-    return df._jdf.queryExecution().analyzed().toString()
-
-
-def test_only_small_sides_are_hinted(spark):
-    side = spark.range(10).withColumnRenamed("id", "k")
-    assert "broadcast" in analyzed(hint_by_size(side, max_rows=10))
-    assert "broadcast" not in analyzed(hint_by_size(side, max_rows=9))
-
-
 def test_lists(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
     listed = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
@@ -23,15 +13,15 @@ def test_lists(spark):
     assert sorted(r.n for r in drop_listed(df, listed, ["k"]).collect()) == [2, 3]
 
 
-def test_failed_keys_beyond_the_broadcast_limit(spark, monkeypatch):
+def test_failed_keys_beyond_the_broadcast_limit(spark):
     """The shuffled form drops the same rows, also with one key on a third of them."""
     rows = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("ticker"),
         F.when((F.col("id") % 1000 == 7) | (F.col("id") == 3), F.lit(None)).otherwise(F.col("id")).alias("open"),
     )
     outcomes = outcome_by_key(rows, [not_null("open")], "ticker")
-    hinted = plan.drop_failed(rows, outcomes)
-    monkeypatch.setattr(plan, "hint_by_size", lambda side: side)
+    small = plan.drop_failed(rows, outcomes)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         shuffled = plan.drop_failed(rows, outcomes)
@@ -39,7 +29,7 @@ def test_failed_keys_beyond_the_broadcast_limit(spark, monkeypatch):
         counts = {r.ticker: r["count"] for r in shuffled.groupBy("ticker").count().collect()}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert counts == {r.ticker: r["count"] for r in hinted.groupBy("ticker").count().collect()}
+    assert counts == {r.ticker: r["count"] for r in small.groupBy("ticker").count().collect()}
     ids = range(30_000)
     key = lambda i: "hot" if i % 3 == 0 else str(i % 500)
     failed = {key(i) for i in ids if i % 1000 == 7 or i == 3}

@@ -25,16 +25,16 @@ from stratalake.sources.files import list_files, only_cities, read_table, read_w
 RUN = Run("batch", dt.datetime(2024, 2, 1, 8, 30))
 
 
-def record(day, pressure=1021, cloud=100, lat=40.7128):
+def record(day, pressure=1012, cloud=100, lat=40.5):
     return {
         "lat": lat,
-        "lon": -74.006,
+        "lon": -73.5,
         "date": day,
-        "temperature": {"min": 1.0, "max": 5.0, "afternoon": 3.37, "night": 2.0, "evening": 3.0, "morning": 1.5},
+        "temperature": {"min": 1.0, "max": 5.0, "afternoon": 4.25, "night": 2.0, "evening": 3.0, "morning": 1.5},
         "pressure": {"afternoon": pressure},
-        "humidity": {"afternoon": 72},
+        "humidity": {"afternoon": 64},
         "cloud_cover": {"afternoon": cloud},
-        "precipitation": {"total": 1.14},
+        "precipitation": {"total": 0.75},
         "wind": {"max_speed": 5.5, "max_direction": 180},
     }
 
@@ -45,7 +45,7 @@ def document(days, city="New York", year=2024, month=1):
         "year": year,
         "month": month,
         "source": "openweathermap",
-        "ingestion_timestamp": "2025-05-08T20:56:55.884426",
+        "ingestion_timestamp": "2025-03-04T06:07:08.091011",
         "record_count": len(days or []),
     }
     return {"city": city, "year": year, "month": month, "data": {"metadata": metadata, "data": days}, "s3_key": "k"}
@@ -67,9 +67,9 @@ def test_two_days(spark, tmp_path):
     assert (first.observation_date, second.observation_date) == (dt.date(2024, 1, 1), dt.date(2024, 1, 2))
     assert (first.data_confidence_score, second.data_confidence_score) == (1.0, 0.8)
     assert (first.city, first.year, first.source_system) == ("new_york", 2024, "openweathermap")
-    assert (first.pressure_hpa, first.humidity_percent, first.cloud_cover_percent) == (1021, 72, 100.0)
+    assert (first.pressure_hpa, first.humidity_percent, first.cloud_cover_percent) == (1012, 64, 100.0)
     assert (second.pressure_hpa, second.cloud_cover_percent) == (None, None)
-    assert first.ingestion_datetime == dt.datetime(2025, 5, 8, 20, 56, 55, 884426)
+    assert first.ingestion_datetime == dt.datetime(2025, 3, 4, 6, 7, 8, 91011)
     assert partition_keys(silver, WEATHER_PARTITIONS).count() == 1
 
 
@@ -119,6 +119,51 @@ def test_out_of_range_is_not_published(spark, tmp_path):
         plan.weather_to_silver(spark, weather_paths(root, ["all"]))
 
 
+def test_a_document_that_cannot_be_read_is_told(spark, tmp_path):
+    root = land(tmp_path / "b", document([record("2024-01-01")]), document([record("x")], month=2), document([], month=3))
+    whole = tmp_path / "b" / "city=new_york" / "year=2024" / "04.json"
+    whole.write_text(json.dumps(document([record("2024-04-01")], month=4))[:-30])
+    got = {r.path.rsplit("/", 1)[1]: (r.status, r.reason, r.row_count) for r in plan.document_outcomes(spark, weather_paths(root, ["all"])).collect()}
+    assert got == {
+        "01.json": ("passed", None, 1),
+        "02.json": ("failed", "reading without a date", 1),
+        "03.json": ("failed", "no readings", 0),
+        "04.json": ("failed", "unreadable", 0),
+    }
+    with pytest.raises(QualityError, match="unreadable"):
+        plan.weather_to_silver(spark, weather_paths(root, ["all"]))
+
+
+def test_humidity_is_checked_before_it_is_an_integer(spark, tmp_path):
+    day = record("2024-01-01")
+    day["humidity"]["afternoon"] = 72.9
+    root = land(tmp_path / "b", document([day]))
+    with pytest.raises(QualityError, match="humidity_percent_in_range"):
+        plan.weather_to_silver(spark, weather_paths(root, ["all"]))
+
+
+def test_two_batches_of_a_year(spark, tmp_path):
+    target = str(tmp_path / "silver")
+    for month in (1, 2, 1):
+        root = land(tmp_path / f"b{month}", document([record(f"2024-0{month}-01")], month=month))
+        plan.publish_weather(plan.weather_to_silver(spark, weather_paths(root, ["all"])), target)
+    assert read_table(spark, target).count() == 2
+
+
+def test_fetch_cycle(spark, tmp_path):
+    """What the own writer landed is not planned again, odd city names included."""
+    names = ["New York", "L'Aquila", "A+B [x]", "50% x"]
+    cities = spark.createDataFrame([(c,) for c in names], "city string")
+    rows = [(c, f"2024-01-{d:02d}", 1.0, 1) for c in names for d in (1, 2)]
+    delivered = readings(spark, rows).drop("landed_at")
+    first = plan.fetch_cycle(spark, cities, delivered, "2024-01", "2024-02", str(tmp_path), RUN)
+    assert {(r.status, r["keys"]) for r in outcome_tally(first).collect()} == {("passed", 8), ("failed", 4 * 60 - 8)}
+    again = plan.plan_fetch(spark, cities, "2024-01", "2024-02", str(tmp_path))
+    assert sorted((r.city, r.month) for r in again.collect()) == sorted((c, 2) for c in names)
+    silver = plan.weather_to_silver(spark, weather_paths(f"{tmp_path}/bronze/openweathermap", names))
+    assert silver.select("city").distinct().count() == 4
+
+
 def readings(spark, rows):
     """Rows of (city, date, temperature, landed_at)."""
     schema = WEATHER_DAY.simpleString().removeprefix("struct<").removesuffix(">")

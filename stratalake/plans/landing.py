@@ -23,7 +23,8 @@ ERROR_TEXTS = ("Error Message", "Invalid API call", "Invalid API Key")
 
 def payload_problem(payload: Column) -> Column:
     """Why a payload cannot hold bars; null if it can."""
-    is_json = F.try_parse_json(payload).isNotNull()
+    # A text that begins with a quoted header would parse as a JSON string.
+    is_json = F.ltrim(payload).rlike(r"^[{\[]") & F.try_parse_json(payload).isNotNull()
     series = series_of(payload)
     lines = text_lines(payload)
     names = header_names(F.get(lines, F.lit(0)))

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import path_exists
+
 EVENT_PARTITIONS = ("year_month", "event_type")
 WEATHER_PARTITIONS = ("city", "year")
 BAR_PARTITIONS = ("ticker",)
@@ -55,10 +57,12 @@ def write_partitioned(
 
 def _not_held(df: DataFrame, path: str, partitions: Sequence[str], keys: Sequence[str], fmt: str) -> DataFrame:
     """Rows whose key is not among the stored rows of the same partition."""
+    if not path_exists(df.sparkSession, path):
+        return df
     try:
         stored = df.sparkSession.read.format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_PATH_DOES_NOT_EXIST", "DELTA_MISSING_DELTA_TABLE"):
+    except AnalysisException as error:  # a folder without a file
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return df
     by = list(dict.fromkeys([*partitions, *keys]))

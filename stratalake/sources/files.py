@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import plain_path
 from ..schemas import WEATHER_DOCUMENT
-from ..session import staged
+from ..session import path_exists, staged
 
 
 def list_files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
@@ -21,16 +20,11 @@ def list_files(spark: SparkSession, root: str, pattern: str | None = None) -> Da
     come from the file index, which the driver holds for any scan. A missing
     folder lists nothing.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    try:
-        files = reader.load(root)
-        names = [(name,) for name in files.inputFiles()]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, root):
         return spark.createDataFrame([], "path string, length long, modificationTime timestamp")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(root)
+    names = [(name,) for name in files.inputFiles()]
     listed = files.select(plain_path(F.col("path")).alias("path"), "length", "modificationTime")
     named = spark.createDataFrame(names, "name string").select(plain_path(F.col("name"), encoded=True).alias("path"))
     return named.join(listed, "path", "left").select(
@@ -99,12 +93,9 @@ def read_text_files(spark: SparkSession, root: str, files: DataFrame, key: str,
     the list by path, whatever the number of files; the list is staged, so the
     planner knows whether it is small enough to be sent to the scan.
     """
-    try:
-        text = spark.read.option("recursiveFileLookup", "true").text(root, wholetext=whole)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, root):
         return spark.createDataFrame([], f"{key} string, path string, value string")
+    text = spark.read.option("recursiveFileLookup", "true").text(root, wholetext=whole)
     located = text.select(plain_path(F.col("_metadata.file_path"), encoded=True).alias("path"), "value")
     return located.join(staged(files.select(key, "path"), "files"), "path").select(key, "path", "value")
 

@@ -185,6 +185,8 @@ SERIES = (
         (f"{HEADER}\n{GOOD}\n", None),
         (f"{HEADER}\r\n{GOOD}\r\n", None),
         ("Timestamp,Open,High,Low,Close,Volume\n" + GOOD, None),
+        ('"timestamp","open","high","low","close","volume"\n' + GOOD, None),
+        (" ", "empty"),
         ('{"Error Message": "Invalid API call"}', "no series"),
         ('{"Time Series (Daily)": {}}', "too short"),
         ("Invalid API Key\nline", "error message"),

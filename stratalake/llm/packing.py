@@ -22,8 +22,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -38,16 +39,23 @@ from stratalake.llm.common import gather, slices, staged
 WINDOW = 2048
 END_ID = 1
 _SEPARATOR = "<|endoftext|>"
-_PLAIN = re.compile(r"([A-Za-z]+)([.,]?)")
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 1_200_000
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
+# Letters beyond ASCII as the two bytes of their UTF-8, in the byte alphabet of byte-level
+# models: bytes that print stand for themselves, the others follow from 256 on.
+_PRINTING = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHERS = [b for b in range(256) if b not in _PRINTING]
+_ALPHABET = {**{b: chr(b) for b in _PRINTING}, **{b: chr(256 + n) for n, b in enumerate(_OTHERS)}}
+_BYTES = {c: "".join(_ALPHABET[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
 class WordEncoder:
     """Token ids of texts by a ``tokenizers`` file whose pre-tokens hold no white space.
 
     Ids of white-space separated pieces do not depend on their neighbours, so
-    each distinct piece is encoded once and texts are assembled from them. The
-    cache is bounded; it is emptied when full, which only costs time.
+    each distinct piece is encoded once and texts are put together from them. The
+    ids of known pieces lie in one array. The cache is bounded; it is emptied
+    when full, which only costs time.
     """
 
     def __init__(self, path: str):
@@ -55,46 +63,75 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self.tokenizer.token_to_id(_SEPARATOR)
-        self.ids: dict[str, np.ndarray] = {}
-
-    def _encode(self, pieces: list[str]) -> None:
-        """Put the ids of new pieces into the cache."""
-        model, other = self.tokenizer.model, []
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}  # number of a piece
+        self.ids, self.ends = array("I"), array("I")  # its ids end there and begin where the one before ends
+
+    def _add(self, piece: str, ids: Iterable[int]) -> int:
+        number = self.place[piece] = len(self.ends)
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+        return number
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode new pieces.
+
+        A run of Latin letters is one pre-token, and so is a run of marks after
+        it: both go to the model as they are, in its byte alphabet, and words
+        share the entry of their lower case. All else goes through the whole
+        tokenizer, a separator between the pieces.
+        """
+        place, tokenize, other = self.place, self.tokenizer.model.tokenize, []
         for piece in pieces:
-            if plain := _PLAIN.fullmatch(piece):
-                word, mark = plain.groups()
-                ids = [t.id for t in model.tokenize(word.lower())]
-                self.ids[piece] = np.array(ids + [t.id for t in model.tokenize(mark)] if mark else ids, np.uint32)
-            else:
+            plain = _PLAIN.fullmatch(piece)
+            if plain is None:
                 other.append(piece)
+                continue
+            word, mark = plain.groups()
+            lower = word.lower()
+            number = place.get(lower)
+            if number is None:
+                number = self._add(lower, [t.id for t in tokenize(lower if lower.isascii() else lower.translate(_BYTES))])
+            if mark:
+                if mark not in place:
+                    self._add(mark, [t.id for t in tokenize(mark)])
+                self._add(piece, [*self._ids(number), *self._ids(place[mark])])
+            else:
+                place[piece] = number
         joined = [p for p in other if "<|" not in p]
         for at in range(0, len(joined), 512):
             part = joined[at : at + 512]
             ids = np.array(self.tokenizer.encode(_SEPARATOR.join(part), add_special_tokens=False).ids, np.uint32)
             cut = np.split(ids, np.flatnonzero(ids == self.separator))
             for n, (piece, run) in enumerate(zip(part, cut, strict=True)):
-                self.ids[piece] = run[1:] if n else run
+                self._add(piece, (run[1:] if n else run).tolist())
         for piece in other:
             if "<|" in piece:
-                self.ids[piece] = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, np.uint32)
+                self._add(piece, self.tokenizer.encode(piece, add_special_tokens=False).ids)
+
+    def _ids(self, number: int) -> array:
+        return self.ids[self.ends[number - 1] if number else 0 : self.ends[number]]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a string column, one after the other, and the number of ids of each row."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
         coded = pc.dictionary_encode(pc.list_flatten(split))
         pieces = coded.dictionary.to_pylist()
-        if len(self.ids) > _CACHE_WORDS:
-            self.ids.clear()
-        self._encode([p for p in pieces if p not in self.ids])
-        known = [self.ids[p] for p in pieces]
-        sizes = np.fromiter(map(len, known), np.int64, len(known))
-        flat = np.concatenate(known) if known else np.zeros(0, np.uint32)
+        if len(self.place) > _CACHE_WORDS:
+            self.clear()
+        self._learn([p for p in pieces if p not in self.place])
+        numbers = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+        ends = np.frombuffer(self.ends, np.uint32).astype(np.int64) if self.ends else np.zeros(0, np.int64)
+        begins = np.concatenate(([0], ends[:-1])) if len(ends) else ends
         index = coded.indices.to_numpy(zero_copy_only=False)
-        lengths = sizes[index]
+        starts, lengths = begins[numbers][index], (ends - begins)[numbers][index]
+        flat = gather(np.array(self.ids, np.uint32), starts, lengths)
         words = pc.list_value_length(split).to_numpy(zero_copy_only=False)
         upto = np.concatenate(([0], np.cumsum(lengths)))
         edges = np.concatenate(([0], np.cumsum(words)))
-        return gather(flat, (np.cumsum(sizes) - sizes)[index], lengths), np.diff(upto[edges])
+        return flat, np.diff(upto[edges])
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -114,7 +151,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task, served = _encoder(tokenizer_path), TaskContext.get().partitionId(), {}
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 8 << 20):
             flat, counts = encoder.encode(batch.column("text"))
             ends = np.cumsum(counts)
             places, ids = [], []

@@ -15,6 +15,8 @@ Base rules (shortness, repeated windows) come first.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,3 +109,14 @@ def judge(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCORE, max_
     judged = scored.withColumn("base_failed", failed)
     judged = judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= min_score))
     return judged.select("doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCORE, max_trusted: int = MAX_TRUSTED) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps, with the columns of ``docs``.
+
+    The observed count stands between the verdict and its filter. Without it the
+    optimizer would move the filter below the steps that lead to the verdict and
+    compute each of them again inside the other.
+    """
+    judged = judge(docs, labels, min_score, max_trusted)
+    return judged.observe(f"judged_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("n")).filter("kept").select("doc.*")

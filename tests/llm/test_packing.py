@@ -16,7 +16,7 @@ from stratalake.llm.queries import tokenizer_path  # noqa: E402
 
 TEXTS = [
     "", None, " \n ", "Hello, World!", "it's THE don't we'll I'VE", "é ÉCOLE école ﬁ", "a<|endoftext|>b <|startoftext|> <|x", "x y　z w", "数 字 12345 ½", "🙂 🙂🙂",
-    "word," * 50, "tab\tnew\nline\x0bv\x0cf\rr", "a\x00b \x1c c\x85d", "İstanbul ΣΑΣ", "long " * 9000 + "end", "Mixed###words*** under_score a.b.c",
+    "word," * 50, "tab\tnew\nline\x0bv\x0cf\rr", "a\x00b \x1c c\x85d", "İstanbul ΣΑΣ", "long " * 9000 + "end", "Mixed###words*** under_score a.b.c", "Über ÄÖÜß ÀÉÎõÿ×÷ été, Ça! naïve*** don't l'été <b> x<y é<|endoftext|> THE!! ÉCOLE%%% 3é é3 ª º",
 ]
 
 

@@ -498,9 +498,10 @@ def statements() -> dict[str, str]:
         "events_rejected_from_csv": REJECTED_EVENTS,
         "streamed_rejects": REJECTED_EVENTS,
         "symbols_round_trip": """
-            SELECT ['^', '% ', '[1]', '''', '+', 'x {y}'][s_suppkey % 6 + 1] || s_suppkey AS symbol, 2.0::DOUBLE AS close_price,
-                   CAST(s_suppkey AS DOUBLE) AS volume, true AS fresh, 'passed' AS status, CAST(1 AS BIGINT) AS row_count
-            FROM supplier""",
+            SELECT ['^', '% ', '[1]', '''', '+', 'x {y}'][s_suppkey % 6 + 1] || n_name AS symbol,
+                   CAST(count(*) AS BIGINT) AS stored_rows, CAST(sum(s_suppkey) AS DOUBLE) AS volume, true AS fresh,
+                   'passed' AS status, CAST(count(*) AS BIGINT) AS row_count
+            FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1""",
         "fetch_cycle": f"""{city_days("2023-12-01", "2024-03-01")},
             days AS (
               SELECT city, month_start, CAST(unnest(generate_series(month_start, last_day(month_start), INTERVAL 1 DAY)) AS DATE) AS d FROM wanted

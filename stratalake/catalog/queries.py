@@ -787,22 +787,29 @@ ODD = ("^", "% ", "[1]", "'", "+", "x {y}")
 
 @registered
 def symbols_round_trip(spark, sf_dir):
-    """Symbols with odd characters: landed, fresh, standardised and stored under one name."""
+    """Symbols with odd characters: landed, fresh, standardised and stored under one name.
+
+    A symbol is an odd text and a nation; it has one bar, on a day of its own,
+    per supplier.
+    """
     key = F.col("s_suppkey")
-    named = roles.table(spark, sf_dir, "supplier").select(
-        F.concat(F.get(F.array(*map(F.lit, ODD)), (key % len(ODD)).cast("int")), F.col("s_suppkey").cast("string")).alias("symbol"),
-        F.concat(F.lit('"Timestamp","open","high","low","close","volume"\n'), F.date_format(F.date_add(F.lit("2024-01-01"), (key % 28).cast("int")), "yyyy-MM-dd"),
-                 F.lit(",1.5,2.5,0.5,2.0,\""), key.cast("string"), F.lit("\"")).alias("value"),
-    )
+    suppliers = roles.table(spark, sf_dir, "supplier").join(roles.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    symbol = F.concat(F.get(F.array(*map(F.lit, ODD)), (key % len(ODD)).cast("int")), F.col("n_name"))
+    day = F.date_format(F.date_add(F.lit("2000-01-01"), key.cast("int")), "yyyy-MM-dd")
+    line = F.concat(day, F.lit(',1.5,"2.5",0.5,2.0,"'), key.cast("string"), F.lit('"'))
+    lines = suppliers.groupBy(symbol.alias("symbol")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    text = F.concat_ws("\n", F.lit('"Timestamp","open","high","low","close","volume"'), F.array_join("lines", "\n"))
     payloads, landed, target = (scratch_path(spark, label) for label in ("payloads", "landed", "silver-bars"))
-    named.repartition(8).write.partitionBy("symbol").text(payloads)
+    lines.select("symbol", text.alias("value")).write.partitionBy("symbol").text(payloads)
     landing.land_payloads(spark, payloads, landed, "20240131_120000")
-    fresh = planning.freshness(sources.list_files(spark, landed, "*.csv"), STALE_RUN.timestamp())
+    fresh = planning.freshness(sources.list_files(spark, landed, "*.csv"), STALE_RUN.timestamp()).select("symbol", "fresh")
     result = bar_plan.bars_to_silver(spark, landed, run=RUN)
     bar_plan.publish_bars(result.silver, target)
-    stored = sources.read_table(spark, target, schema=result.silver.schema)
-    joined = stored.select(F.col("ticker").alias("symbol"), "close_price", "volume").join(fresh, "symbol", "full").join(result.outcomes.withColumnRenamed("ticker", "symbol"), "symbol", "full")
-    return joined.select("symbol", "close_price", F.col("volume").cast("double").alias("volume"), "fresh", "status", "row_count")
+    stored = sources.read_table(spark, target, schema=result.silver.schema).groupBy(F.col("ticker").alias("symbol")).agg(
+        F.count(F.lit(1)).alias("stored_rows"), F.sum("volume").cast("double").alias("volume")
+    )
+    outcomes = result.outcomes.select(F.col("ticker").alias("symbol"), "status", "row_count")
+    return stored.join(fresh, "symbol", "full").join(outcomes, "symbol", "full")
 
 
 @registered

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scores import event_confidence
-from ..functions.text import blank_to_null, category_levels
+from ..functions.text import blank_to_null, category_levels, plain_path
 from ..functions.timefeatures import to_event_time
 from ..operators.lineage import Run, stamp
 from ..operators.quality import QualityError, breaks_any, broken_rules, contract_gaps, missing_columns, stage_and_check
@@ -109,7 +109,7 @@ def _held_events(spark: SparkSession, path: str | Sequence[str], run: Run | None
     absent = missing_columns(raw, RAW_EVENTS.fieldNames())
     if absent:
         raise QualityError(f"events: missing columns {absent}")
-    silver = standardize_events(raw, run or Run(), F.col("_metadata.file_path"), record_keys)
+    silver = standardize_events(raw, run or Run(), plain_path(F.col("_metadata.file_path"), encoded=True), record_keys)
     gaps = contract_gaps(silver, SILVER_EVENTS)
     if gaps:
         raise QualityError(f"events: {gaps}")

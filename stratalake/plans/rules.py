@@ -53,7 +53,7 @@ BAR_SANITY_RULES = [
     *[between(c, low=0) for c in ("open_price", "high_price", "low_price", "close_price", "volume")],
 ]
 
-# Flat daily weather record as delivered.
+# Fields of the flat daily weather record as delivered.
 RAW_WEATHER_FIELDS = (
     "lat",
     "lon",
@@ -89,7 +89,7 @@ RAW_WEATHER_RULES = [
 
 
 def gold_rules(start: dt.date, end: dt.date) -> list[Rule]:
-    """The gate of the daily table."""
+    """The gate of the daily table; names and ranges are fixed values."""
     return [
         between("date", str(start), str(end)),
         not_null("sales_event_count"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.text import plain_path
 from ..operators.lineage import Run
 from ..operators.quality import breaks_any, broken_rules
 from ..plans.events import publish_events, standardize_events
@@ -39,7 +40,7 @@ def ingest_events(
     written go on growing. ``checkpoint`` must lie in storage all executors reach
     and stay the same from run to run.
     """
-    silver = standardize_events(read_event_stream(spark, root), run or Run(), F.col("_metadata.file_path"))
+    silver = standardize_events(read_event_stream(spark, root), run or Run(), plain_path(F.col("_metadata.file_path"), encoded=True))
 
     def publish(batch: DataFrame, number: int) -> None:
         held = staged(batch, "stream-batch")

@@ -89,3 +89,12 @@ def test_plan_has_no_python_and_scores_without_a_shuffle(spark, small_tables):
     df = quality.judge(spark.read.parquet(f"{small_tables}/documents.parquet"), spark.read.parquet(f"{small_tables}/labels.parquet"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_kept_documents_have_the_columns_of_the_input(spark):
+    good, junk, odd = corpus()
+    df = spark.createDataFrame(list(enumerate(good + junk + odd)), "doc_id long, text string").withColumn("kept", F.lit("clash"))
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 60, 2)], "doc_id long, quality int")
+    kept = quality.kept_documents(df, labels)
+    want = {r.doc_id for r in quality.judge(df, labels).selectExpr("doc.doc_id as doc_id", "kept").collect() if r.kept}
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == want

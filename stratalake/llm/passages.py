@@ -144,7 +144,7 @@ def drop_repeats(docs: DataFrame, unit: str = "sentence", min_unit_words: int =
     name = fresh_name(docs, "spans")
     side = spans.select(F.col("doc_id").alias("k1"), F.col("doc_hash").alias("k2"), F.col("spans").alias(name))
     same = docs["doc_id"].eqNullSafe(F.col("k1")) & (F.xxhash64(docs["text"].cast("string")) == F.col("k2"))
-    joined = docs.join(side, same, "left").drop("k1", "k2")
+    joined = docs.join(side.hint("merge"), same, "left").drop("k1", "k2")  # the same plan at every size
     place = joined.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -161,5 +161,6 @@ def keep_first(docs: DataFrame, radius: int = 4, shingle_words: int = 3) -> Data
     uid, key = fresh_name(docs, "row_uid"), "doc_id"
     whole = staged(docs.withColumn(uid, F.monotonically_increasing_id()), "numbered")
     found = near_duplicates(whole.select(F.col(uid).alias("uid"), F.col(key), "text").withColumn("pair", F.struct(F.col(key).isNull().alias("none"), key, "uid")), radius, shingle_words, "pair", "text")
-    kept = staged(found.filter(F.col("pair") == F.col("component_id")).select(F.col("pair.uid").alias(uid)), "kept")
-    return whole.join(kept, uid, "left_semi").drop(uid)
+    # The rows that go are fewer than those that stay: texts are only shuffled if even these are many.
+    gone = staged(found.filter(F.col("pair") != F.col("component_id")).select(F.col("pair.uid").alias(uid)), "gone")
+    return whole.join(gone, uid, "left_anti").drop(uid)

@@ -52,8 +52,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def words_of(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; none for null."""
-    spaced = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "))
-    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
 def byte_rows(column: pa.Array) -> Iterator[bytes]:

@@ -62,14 +62,13 @@ def base_counts(df: DataFrame, text: str, prefix: str = "") -> DataFrame:
     that nothing inside a lambda is computed again for every element.
     """
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    lines = F.filter(F.split(value, "\n"), lambda x: F.length(F.regexp_replace(x, r"[\x20\x09-\x0D]+", "")) > 0)
+    lines = F.filter(F.split(value, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     step = df.withColumns({
         "words": words_of(value),
-        "word_chars": F.length(F.regexp_replace(value, r"[\x20\x09-\x0D]+", "")).cast("long"),
-        "n_symbols": (F.length(value) - F.length(F.translate(value, "#*$%&|<>", ""))).cast("long"),
+        "n_symbols": F.regexp_count(value, F.lit(r"[#*$%&|<>]")).cast("long"),
         "lines": lines,
     })
-    step = step.withColumns({"n_words": F.size("words").cast("long"), "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")})
+    step = step.withColumns({"n_words": F.size("words").cast("long"), "word_chars": F.length(F.array_join("words", "")).cast("long"), "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")})
     two, three = F.slice("words", 2, F.greatest(F.size("words") - 2, F.lit(0))), F.slice("words", 3, F.greatest(F.size("words") - 2, F.lit(0)))
     pairs = F.zip_with(F.slice("words", 1, F.greatest(F.size("words") - 2, F.lit(0))), two, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     step = step.withColumn("windows", F.zip_with(pairs, three, lambda p, c: F.xxhash64(p["a"], p["b"], c)))

@@ -1,14 +1,20 @@
 """Substring dedup by hashing of units: the earliest ranked occurrence stays.
 
-A unit is a line or paragraph, or (the default) a sentence of a line: passages
-are often pasted into the middle of a line, where whole lines do not repeat.
-Sentences of under ``min_unit_words`` are joined to the next one of their line;
-long ones are cut at commas. Units are normalised (lower case, single blanks)
-and hashed. All units of the same digest are ranked by document id and place;
-every one but the first is a repeat.
-
-A single sentence recurs by chance, so a repeat alone removes nothing: repeats
-that follow one another in a document form a run, and runs of at least
+By default the units do not depend on the text around a passage. Every window of
+words of half the bound is hashed, and of as many neighbouring windows the one
+with the least hash is an anchor; so any ``min_run_words`` words that recur share
+an anchor, wherever they stand, and anchors of a longer run touch one another.
+At the ends of a run of repeated anchors the text is compared word by word with
+that around the earliest occurrence, and the bound holds for the extended run.
+
+Other units are a line, a paragraph or a sentence of a line. Sentences of under
+``min_unit_words`` are joined to the next one of their line; long ones are cut at
+commas. Their boundaries depend on the context, so a passage can lose its ends.
+
+Units are normalised (lower case, single blanks) and hashed. All units of the same
+digest are ranked by document id and place; every one but the first is a repeat.
+A single unit recurs by chance, so a repeat alone removes nothing: repeats that
+follow one another in a document form a run, and runs of at least
 ``min_run_words`` words are removed. Start and end of each run are kept as
 offsets (code points) in the original text.
 
@@ -22,11 +28,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from stratalake.llm.common import fresh_name, release, slices, staged
 
@@ -121,6 +129,137 @@ def repeated_spans(docs: DataFrame, unit: str = "sentence", min_unit_words: int
     return result
 
 
+_WORD = re.compile(r"\S+")
+
+
+def _sizes(min_run_words: int) -> tuple[int, int]:
+    """Words of a window, and windows of which one is an anchor: together they span the bound."""
+    return (min_run_words + 1) // 2, min_run_words + 1 - (min_run_words + 1) // 2
+
+
+def anchors(words: list[str], min_run_words: int = 25, known: dict[str, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and digests of the anchors among lower-case words; ``known`` has hashes of words."""
+    size, among = _sizes(min_run_words)
+    if len(words) < min_run_words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    known = {} if known is None else known
+    for word in words:
+        if word not in known:
+            known[word] = xxhash.xxh3_64_intdigest(word)
+    each = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    total = len(words) - size + 1
+    digests = np.zeros(total, np.uint64)
+    for n in range(size):
+        digests = digests * np.uint64(0x9E3779B97F4A7C15) + each[n : n + total]
+    digests = (digests ^ digests >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    digests ^= digests >> np.uint64(32)
+    at = np.arange(total - among + 1)
+    best = at.copy()
+    for step in range(1, among):
+        best = np.where(digests[at + step] < digests[best], at + step, best)
+    places = np.unique(best)
+    return places, digests[places].view(np.int64)
+
+
+def anchor_rows(docs: DataFrame, min_run_words: int) -> DataFrame:
+    """``(doc_id, doc_hash, unit, place, digest)``, one row per anchor; ``place`` counts words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        for batch in slices(batches, "text", 2 << 20):
+            if len(known) > 1 << 18:
+                known.clear()
+            found = [anchors((text or "").lower().split(), min_run_words, known) for text in batch.column("text").to_pylist()]
+            counts = [len(p) for p, _ in found]
+            keys = batch.select(["doc_id", "doc_hash"]).take(pa.array(np.repeat(np.arange(len(found)), counts)))
+            unit = np.concatenate([np.arange(n) for n in counts])
+            columns = [pa.array(c, k) for c, k in ((unit, pa.int32()), (np.concatenate([p for p, _ in found]), pa.int32()), (np.concatenate([d for _, d in found]), pa.int64()))]
+            yield pa.record_batch([*keys.columns, *columns], ["doc_id", "doc_hash", "unit", "place", "digest"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    text = F.col("text").cast("string")
+    picked = docs.select("doc_id", F.xxhash64(text).alias("doc_hash"), text.alias("text"))
+    return picked.mapInArrow(run, f"doc_id {kind}, doc_hash long, unit int, place int, digest long")
+
+
+def _contexts(docs: DataFrame, wanted: DataFrame, min_run_words: int) -> DataFrame:
+    """``(digest, before, after)``: up to ``min_run_words`` words on both sides of the earliest occurrences."""
+    size, _ = _sizes(min_run_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2 << 20):
+            rows = []
+            for text, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist()):
+                words = text.lower().split()
+                for x in places:
+                    end = x["place"] + size
+                    rows.append((x["digest"], words[max(0, x["place"] - min_run_words) : x["place"]], words[end : end + min_run_words]))
+            if rows:
+                digest, before, after = zip(*rows)
+                words = pa.list_(pa.string())
+                yield pa.record_batch([pa.array(digest, pa.int64()), pa.array(before, words), pa.array(after, words)], ["digest", "before", "after"])
+
+    by_doc = wanted.groupBy(F.col("first.doc_id").alias("k1"), F.col("first.doc_hash").alias("k2")).agg(F.collect_set(F.struct(F.col("first.place").alias("place"), "digest")).alias("places"))
+    text = F.col("text").cast("string")
+    picked = docs.select(F.col("doc_id"), F.xxhash64(text).alias("doc_hash"), text.alias("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("k1")) & (F.col("doc_hash") == F.col("k2"))
+    held = picked.join(by_doc.hint("merge"), same).select("text", "places")
+    return held.mapInArrow(run, "digest long, before array<string>, after array<string>").dropDuplicates(["digest"])
+
+
+def repeated_anchors(docs: DataFrame, min_run_words: int = 25) -> DataFrame:
+    """``(doc_id, doc_hash, found)``: places of the repeated anchors, with the words around the earliest occurrence at the ends of runs."""
+    rows = staged(anchor_rows(docs, min_run_words), "anchors")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc_hash", "place")
+    first = rows.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
+    first = staged(first.filter("first < last").select("digest", "first"), "first")
+    repeats = rows.join(first, "digest").filter(rank != F.col("first"))
+    by_doc = Window.partitionBy("doc_id", "doc_hash").orderBy("unit")
+    # Two anchors at each end: the earliest occurrence of the last one may be a shorter passage elsewhere.
+    ends = [F.count("*").over(by_doc.rangeBetween(n, n)) == 0 for n in (-2, -1, 1, 2)]
+    repeats = staged(repeats.withColumn("end", ends[0] | ends[1] | ends[2] | ends[3]), "repeats")
+    wanted = repeats.filter("end").select("digest", "first").distinct()
+    around = staged(_contexts(docs, wanted, min_run_words), "contexts")
+    kept = repeats.select("doc_id", "doc_hash", "place", F.col("first.doc_id").alias("first_doc_id"), F.when(F.col("end"), F.col("digest")).alias("digest"))
+    inner = kept.filter("digest IS NULL").withColumn("before", F.lit(None).cast("array<string>")).withColumn("after", F.lit(None).cast("array<string>"))
+    outer = kept.join(around, "digest")
+    each = outer.unionByName(inner).groupBy("doc_id", "doc_hash").agg(F.sort_array(F.collect_set(F.struct("place", "first_doc_id", "before", "after"))).alias("found"))
+    result = staged(each, "found")
+    release(rows, first, repeats, around)
+    return result
+
+
+def extended(text: str, found: list[dict], min_run_words: int) -> list[dict]:
+    """Runs of a text from its repeated anchors, sorted by place."""
+    size, _ = _sizes(min_run_words)
+    at = [m.span() for m in _WORD.finditer(text)]
+    words = text.lower().split()
+    pieces = []
+    for x in found:
+        low, high = x["place"], x["place"] + size
+        for word in reversed(x["before"] or ()):
+            if not low or words[low - 1] != word:
+                break
+            low -= 1
+        for word in x["after"] or ():
+            if high == len(words) or words[high] != word:
+                break
+            high += 1
+        pieces.append((low, high, x["first_doc_id"]))
+    pieces.sort(key=lambda p: p[:2])
+    runs: list[list] = []
+    for low, high, source in pieces:
+        if runs and low <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], high)
+            runs[-1][2].append(source)
+        else:
+            runs.append([low, high, [source]])
+    return [
+        {"start": at[low][0], "end": at[high - 1][1], "n_units": len(sources), "n_words": high - low, "first_doc_id": min((s for s in sources if s is not None), default=None)}
+        for low, high, sources in runs if high - low >= min_run_words
+    ]
+
+
 def _cut(text: str, spans: list[dict]) -> str:
     kept, at = [], 0
     for span in spans:
@@ -129,10 +268,10 @@ def _cut(text: str, spans: list[dict]) -> str:
     return "".join(kept) + text[at:]
 
 
-def drop_repeats(docs: DataFrame, unit: str = "sentence", min_unit_words: int = 3, min_run_words: int = 25) -> tuple[DataFrame, str]:
+def drop_repeats(docs: DataFrame, unit: str = "window", min_unit_words: int = 3, min_run_words: int = 25) -> tuple[DataFrame, str]:
     """``docs`` with its repeats cut out of ``text``, and the name of the added column of spans.
 
-    ``unit`` is sentence, line or paragraph. All other columns stay as they are;
+    ``unit`` is window, sentence, line or paragraph. All other columns stay as they are;
     a text that loses nothing is unchanged and has null spans. Null and empty
     texts have no units. Rows that repeat both id and text are one document to
     the ranking and fare alike; of rows with the same id and other texts, or with
@@ -140,22 +279,34 @@ def drop_repeats(docs: DataFrame, unit: str = "sentence", min_unit_words: int =
     text is all repeats keeps what lies between runs, at least an empty text. An
     empty table gives no rows.
     """
-    spans = repeated_spans(docs, unit, min_unit_words, min_run_words)
     name = fresh_name(docs, "spans")
+    if unit == "window":
+        spans = repeated_anchors(docs, min_run_words).withColumnRenamed("found", "spans")
+    else:
+        spans = repeated_spans(docs, unit, min_unit_words, min_run_words)
     side = spans.select(F.col("doc_id").alias("k1"), F.col("doc_hash").alias("k2"), F.col("spans").alias(name))
     same = docs["doc_id"].eqNullSafe(F.col("k1")) & (F.xxhash64(docs["text"].cast("string")) == F.col("k2"))
     joined = docs.join(side.hint("merge"), same, "left").drop("k1", "k2")  # the same plan at every size
-    place = joined.columns.index("text")
+    place, last = joined.columns.index("text"), joined.columns.index(name)
+    kind = docs.schema["doc_id"].dataType
+    parts = [("start", T.IntegerType()), ("end", T.IntegerType()), ("n_units", T.IntegerType()), ("n_words", T.IntegerType()), ("first_doc_id", kind)]
+    spans_type = T.ArrayType(T.StructType([T.StructField(n, k) for n, k in parts]))
+    arrow = to_arrow_type(spans_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             found = batch.column(name)
             if found.null_count < batch.num_rows:
-                texts = [_cut(t, s) if s else t for t, s in zip(batch.column("text").to_pylist(), found.to_pylist())]
+                texts, runs = batch.column("text").to_pylist(), found.to_pylist()
+                if unit == "window":
+                    runs = [extended(t, s, min_run_words) or None if s else None for t, s in zip(texts, runs)]
+                texts = [_cut(t, s) if s else t for t, s in zip(texts, runs)]
                 batch = batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
-            yield batch
+            else:
+                runs = [None] * batch.num_rows
+            yield batch.set_column(last, pa.field(name, arrow), pa.array(runs, arrow))
 
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in joined.schema.fields])
+    schema = T.StructType([T.StructField(f.name, spans_type if f.name == name else f.dataType, True) for f in joined.schema.fields])
     return joined.mapInArrow(run, schema), name
 
 

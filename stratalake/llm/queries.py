@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import html_text, licenses, mixing, oracles, packing, passages, quality, simhash, topk, toxicity, warc
+from stratalake.llm import codes, collisions, html_text, licenses, mixing, oracles, packing, passages, quality, simhash, spelling, topk, toxicity, warc
 from stratalake.llm.common import table
 
 
@@ -61,6 +61,18 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -73,6 +85,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_mixing": op9_mixing,
         "op10_topk": op10_topk,
+        "op11_spelling": op11_spelling,
+        "op12_codes": op12_codes,
+        "op13_neighbours": op13_neighbours,
     }
 
 

@@ -109,6 +109,7 @@ def mixed_documents(docs: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     whole = staged(docs.withColumn(uid, F.monotonically_increasing_id()), "numbered")
     taken = staged(mix(whole, uid, max_epochs).filter("copies > 0").select(uid, "copies"), "copies")
     # Nearly all rows have copies, so this side grows with the table: the same plan at every size.
-    repeated = whole.join(taken.withColumnRenamed("copies", "mix_copies_").hint("merge"), uid)
-    times = F.explode(F.sequence(F.lit(1), F.col("mix_copies_").cast("int"))).alias(fresh_name(docs, "epoch_"))
+    copies = fresh_name(docs, "copies")
+    repeated = whole.join(taken.withColumnRenamed("copies", copies).hint("merge"), uid)
+    times = F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(fresh_name(docs, "epoch_"))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns], times).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -284,9 +284,10 @@ def drop_repeats(docs: DataFrame, unit: str = "window", min_unit_words: int = 3,
         spans = repeated_anchors(docs, min_run_words).withColumnRenamed("found", "spans")
     else:
         spans = repeated_spans(docs, unit, min_unit_words, min_run_words)
-    side = spans.select(F.col("doc_id").alias("k1"), F.col("doc_hash").alias("k2"), F.col("spans").alias(name))
-    same = docs["doc_id"].eqNullSafe(F.col("k1")) & (F.xxhash64(docs["text"].cast("string")) == F.col("k2"))
-    joined = docs.join(side.hint("merge"), same, "left").drop("k1", "k2")  # the same plan at every size
+    by_id, by_hash = fresh_name(docs, "span_doc_id"), fresh_name(docs, "span_doc_hash")
+    side = spans.select(F.col("doc_id").alias(by_id), F.col("doc_hash").alias(by_hash), F.col("spans").alias(name))
+    same = docs["doc_id"].eqNullSafe(F.col(by_id)) & (F.xxhash64(docs["text"].cast("string")) == F.col(by_hash))
+    joined = docs.join(side.hint("merge"), same, "left").drop(by_id, by_hash)  # the same plan at every size
     place, last = joined.columns.index("text"), joined.columns.index(name)
     kind = docs.schema["doc_id"].dataType
     parts = [("start", T.IntegerType()), ("end", T.IntegerType()), ("n_units", T.IntegerType()), ("n_words", T.IntegerType()), ("first_doc_id", kind)]

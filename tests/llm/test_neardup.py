@@ -69,6 +69,28 @@ def test_stage_links_all_pairs_of_080(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == slow_kept(rows)
 
 
+def compared(spark, monkeypatch, n):
+    """Pairs compared for a family of n texts, five of a hundred words changed in each."""
+    rng = random.Random(n)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+    rows = [(i, " ".join("x" + str(rng.randrange(10**6)) if j in (at := rng.sample(range(100), 5)) else w for j, w in enumerate(base))) for i in range(n)]
+    counts, verified = [], neardup._verified
+
+    def counting(pairs, sets, percent):
+        counts.append(pairs.count())
+        return verified(pairs, sets, percent)
+
+    monkeypatch.setattr(neardup, "_verified", counting)
+    neardup.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    monkeypatch.undo()
+    return sum(counts)
+
+
+def test_comparisons_of_a_family_grow_with_its_size(spark, monkeypatch):
+    few, many = compared(spark, monkeypatch, 150), compared(spark, monkeypatch, 600)
+    assert many <= 5 * max(few, 150)
+
+
 def test_copy_far_from_the_radius_goes(spark):
     rng = random.Random(4)
     words = [f"w{rng.randrange(300)}" for _ in range(60)]

@@ -13,8 +13,7 @@ from stratalake.llm.common import staged  # noqa: E402
 from stratalake.llm.packing import WordEncoder  # noqa: E402
 from stratalake.llm.queries import tokenizer_path  # noqa: E402
 from tests.llm.test_packing import check  # noqa: E402
-from tests.llm.test_passages import slow as slow_cut  # noqa: E402
-from tests.llm.test_simhash import slow_components, slow_fingerprint  # noqa: E402
+from tests.llm.test_neardup import slow_kept  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 STAGES = dict(corpus_pipeline.STAGES)
@@ -53,21 +52,41 @@ def test_quality_keeps_what_the_verdict_keeps(spark, small_tables, steps):
 
 
 def test_near_duplicates_leave_one_row(steps):
+    """The rows that stay are whole rows, and those of all pairs compared by five-word Jaccard."""
     docs, out = steps["near_dedup"]
-    held = docs.select(*COLUMNS).collect()
-    parts = slow_components([n for n in range(len(held))], [slow_fingerprint(r.text) for r in held], 4)
-    groups = {}
-    for r, p in zip(held, parts):
-        groups.setdefault(p, []).append(r)
-    first = sorted((tuple(min(g, key=lambda r: (r.doc_id is None, r.doc_id or 0))) for g in groups.values()), key=repr)
-    assert rows(out) == first
+    before, after = rows(docs), rows(out)
+    assert not Counter(after) - Counter(before)
+    assert sorted((r[0] for r in after), key=repr) == slow_kept([(r[0], r[1]) for r in before])
 
 
 def test_passages_are_cut(steps):
+    """What goes stands earlier, window by window; no passage of 50 words that stands earlier is left."""
     docs, out = steps["substring_dedup"]
-    want = slow_cut([(r.doc_id, r.text) for r in docs.collect()], "sentence", 25)
-    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == want
+    held = sorted(((r.doc_id is None, r.doc_id or 0), r.text or "") for r in docs.collect())
+    kept = {(r.doc_id is None, r.doc_id or 0): r.text or "" for r in out.collect()}
+    assert len(kept) == len(held) == docs.count()
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in out.collect())
+    seen, cut = set(), 0
+    for key, text in held:
+        words, left = text.lower().split(), kept[key].lower().split()
+        windows = [tuple(words[i : i + 50]) for i in range(len(words) - 49)]
+        if kept[key] == text:
+            assert not any(w in seen for w in windows), key
+        else:
+            cut += 1
+            assert not any(tuple(left[i : i + 50]) in seen for i in range(len(left) - 49)), key
+            assert not Counter(left) - Counter(words)
+        seen.update(windows)
+    assert cut > 0
+
+
+def test_clashing_columns_travel(spark, small_tables):
+    names = ("k1", "k2", "mix_copies_", "copies", "epoch_", "row_uid", "spans", "span_doc_id", "span_doc_hash", "uid", "sid", "key", "hash", "words", "score", "kept")
+    docs = spark.read.parquet(f"{small_tables}/documents.parquet").withColumns({c: F.lit(c) for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = staged(stage(spark, docs, small_tables), f"clash-{name}")
+        assert docs.columns == [*COLUMNS, *names]
+        assert docs.filter(" OR ".join(f"{c} != '{c}'" for c in names)).count() == 0 and docs.count() > 0
 
 
 def test_mix_repeats_whole_rows(steps):

@@ -525,6 +525,40 @@ def statements() -> dict[str, str]:
                    round(sales_avg_price, 6) AS sales_avg_price, round(sales_revenue_per_user, 6) AS sales_revenue_per_user) FROM sales""",
         "partition_keys": f"""{oracle_with("raw_events")}
             SELECT DISTINCT strftime(event_time, '%Y-%m') AS year_month, event_type FROM raw_events""",
+        "events_any_batching": f"""{ev}, sizes AS (SELECT unnest([1, 2, 5]) AS batches)
+            SELECT batches, strftime(ts, '%Y-%m') AS year_month, CASE event_type WHEN 'click' THEN 'cart' ELSE event_type END AS event_type,
+                   CAST(sum(CASE WHEN k % 10 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS row_count,
+                   CAST(sum(CASE WHEN k % 10 = 0 THEN 2 ELSE 1 END * CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
+            FROM ev CROSS JOIN sizes GROUP BY 1, 2, 3""",
+        "bars_with_line_breaks": f"""{oracle_with("bars")}
+            SELECT ticker, {day("trade_date")} AS trade_date, open AS open_price, close AS close_price, CAST(volume AS DOUBLE) AS volume FROM bars""",
+        "bars_out_of_order": f"""{oracle_with("bars")}, placed AS (
+              SELECT ticker, trade_date, CASE WHEN ticker = 'error' THEN -day(trade_date)
+                       WHEN ticker = 'view' AND day(trade_date) <= 7 THEN day(trade_date) + 100 ELSE day(trade_date) END AS place
+              FROM bars
+              UNION ALL SELECT ticker, trade_date, day(trade_date) AS place FROM bars WHERE ticker = 'signup' AND day(trade_date) % 7 = 0
+            ), steps AS (
+              SELECT ticker, trade_date - lag(trade_date) OVER (PARTITION BY ticker ORDER BY place) AS step FROM placed
+            ), counted AS (
+              SELECT ticker, count(*) AS n, count(*) FILTER (step > 0) AS up, count(*) FILTER (step < 0) AS down, count(*) FILTER (step = 0) AS level
+              FROM steps GROUP BY ticker
+            )
+            SELECT ticker, CASE WHEN least(up, down) + level > 0 THEN 'failed' ELSE 'passed' END AS status,
+                   CAST(n AS BIGINT) AS row_count, CAST(least(up, down) + level AS BIGINT) AS out_of_order FROM counted""",
+        "manifest_agrees": f"""{oracle_with("bars")}
+            SELECT DISTINCT ticker AS symbol, CAST(CASE ticker WHEN 'error' THEN 1 ELSE 2 END AS BIGINT) AS agreed,
+                   CAST(0 AS BIGINT) AS only_listed, CAST(0 AS BIGINT) AS only_recorded, CAST(0 AS BIGINT) AS other_length,
+                   CASE ticker WHEN 'error' THEN '20240214_090000' ELSE '20240215_090000' END AS newest_batch,
+                   CASE ticker WHEN 'error' THEN '20240214_090000' ELSE '20240215_090000' END AS recorded_batch
+            FROM bars""",
+        "daily_market_merged": f"""{oracle_with("bars")},{market_cte(MARKET_START, MARKET_END)}
+            SELECT * REPLACE ({day("date")} AS date) FROM market""",
+        "daily_sales_merged": f"""{ev}
+            SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(count(*) AS BIGINT) AS sales_event_count,
+                   CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sales_total_revenue,
+                   round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value), 6) AS sales_avg_price,
+                   true AS users_near, true AS products_near
+            FROM ev GROUP BY 1""",
         "events_append_twice": f"""{oracle_with("raw_events")}
             SELECT event_type, CAST(2 * count(*) AS BIGINT) AS row_count FROM raw_events GROUP BY 1""",
         "weather_from_documents": f"""{oracle_with("weather")}

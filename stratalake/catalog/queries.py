@@ -15,16 +15,17 @@ from pyspark.sql import functions as F
 from ..functions.scores import event_confidence, filled_ratio, weather_confidence
 from ..functions.text import batch_time, blank_to_null, category_levels, path_batch, path_key, slug
 from ..functions.timefeatures import add_time_features
-from ..operators import calendar, daily, nesting, planning, quality
+from ..operators import calendar, daily, nesting, planning, quality, states
 from ..operators.lineage import Run, row_id
 from ..plans import bars as bar_plan
 from ..plans import events as event_plan
 from ..plans import gold as gold_plan
 from ..plans import landing, rules
 from ..plans import weather as weather_plan
-from ..session import apply_settings, scratch_path
+from ..session import apply_settings, scratch_path, staged
 from ..sinks import tables as sinks
 from ..sources import files as sources
+from ..sources import manifest
 from ..streaming.ingest import ingest_events
 from . import roles
 
@@ -858,3 +859,99 @@ def daily_sales_float(spark, sf_dir):
     sales = daily.daily_sales(roles.sales_events(roles.events(spark, sf_dir)), PERIOD.start, SALES_END)
     floats = ("sales_total_revenue", "sales_avg_price", "sales_revenue_per_user")
     return text_dates(sales.withColumns({c: F.round(c, 6) for c in floats}), "date")
+
+
+BATCHINGS = (1, 2, 5)
+
+
+@registered
+def events_any_batching(spark, sf_dir):
+    """The same rows, a tenth of them twice, in 1, 2 and 5 files, every file published twice."""
+    ev = roles.events(spark, sf_dir)
+    doubled = ev.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("k") % 10 == 0, 2).otherwise(1))))
+    silver = staged(event_plan.standardize_events(roles.raw_events(doubled), RUN, F.lit("")), "silver")
+    number = F.substring("user_session", 2, 20).cast("bigint")
+    tables = []
+    for n in BATCHINGS:
+        target = scratch_path(spark, "silver-events")
+        for part in [*range(n), *range(n)]:
+            batch = silver.filter(number % n == part).withColumn("source_file", F.lit(f"part-{part}"))
+            event_plan.publish_events(batch, target)
+        tables.append(sources.read_table(spark, target, schema=silver.schema).withColumn("batches", F.lit(n)))
+    stored = tables[0].unionByName(tables[1]).unionByName(tables[2])
+    cents = F.sum(F.rint(F.col("price") * 100).cast("bigint"))
+    return stored.groupBy("batches", "year_month", "event_type").agg(F.count(F.lit(1)).alias("row_count"), cents.alias("cents"))
+
+
+NOTE = 'first line\nsecond "line", end'
+
+
+@registered
+def bars_with_line_breaks(spark, sf_dir):
+    """Files of two header orders, with a quoted cell that holds a line break, a comma and quotes."""
+    texts = _bar_texts(roles.events(spark, sf_dir)).withColumns({"note": F.lit(NOTE), "batch_ts": F.lit("20240215_090000")})
+    root = scratch_path(spark, "bronze-bars")
+    turned = F.col("symbol").isin("click", "view")
+    keys = list(sinks.LANDING_PARTITIONS)
+    for part, order in ((turned, ["note", *reversed(nesting.BAR_COLUMNS)]), (~turned, [*nesting.BAR_COLUMNS, "note"])):
+        options = {"header": "true", "escape": '"'}
+        sinks.write_partitioned(texts.filter(part).select(*order, *keys), root, keys, fmt="csv", sort_by=["timestamp"], options=options)
+    result = bar_plan.bars_to_silver(spark, root, run=RUN)
+    return text_dates(result.silver.select("ticker", "trade_date", "open_price", "close_price", "volume"), "trade_date")
+
+
+@registered
+def bars_out_of_order(spark, sf_dir):
+    """Files that rise, fall, have a week moved to the end, or repeat days."""
+    day = F.dayofmonth("timestamp")
+    symbol = F.col("symbol")
+    texts = _bar_texts(roles.events(spark, sf_dir))
+    copies = F.when((symbol == "signup") & (day % 7 == 0), 2).otherwise(1)
+    place = F.when(symbol == "error", -day).when((symbol == "view") & (day <= 7), day + 100).otherwise(day)
+    rows = texts.withColumns({"place": place, "copy": F.explode(F.sequence(F.lit(1), copies)), "batch_ts": F.lit("20240215_090000")})
+    root = scratch_path(spark, "bronze-bars")
+    whole = rows.repartition("symbol").sortWithinPartitions("symbol", "batch_ts", "place")
+    whole.write.option("header", "true").partitionBy(*sinks.LANDING_PARTITIONS).csv(root)
+    return bar_plan.order_outcomes(spark, root)
+
+
+@registered
+def manifest_agrees(spark, sf_dir):
+    """Two landings, the second without a symbol: what the manifest knows against a listing."""
+    texts = _bar_texts(roles.events(spark, sf_dir))
+    root, record = scratch_path(spark, "landed"), scratch_path(spark, "manifest")
+    for batch, part in (("20240214_090000", texts), ("20240215_090000", texts.filter("symbol <> 'error'"))):
+        for _ in range(2):  # a landing that is repeated replaces its own files and rows
+            sinks.write_bar_files(part, root, batch)
+            manifest.record_landing(spark, root, record, batch)
+    recorded = manifest.landed_files(spark, record)
+    newest = planning.latest_batch_files(recorded, key="symbol").select("symbol", path_batch(F.col("path")).alias("recorded_batch"))
+    sides = manifest.disagreements(sources.list_files(spark, root, "*.csv"), recorded).withColumnRenamed("key", "symbol")
+    return sides.join(newest, "symbol", "left")
+
+
+@registered
+def daily_market_merged(spark, sf_dir):
+    """The market figures from states of three batches."""
+    bars = roles.silver_bars(roles.events(spark, sf_dir)).withColumn("part", F.length("ticker") % 3)
+    parts = states.market_states(bars, PERIOD.tickers, MARKET_START, MARKET_END, by=["part"])
+    per_day = states.market_of(states.merge_market_states(parts))
+    return text_dates(rounded(per_day, *_MARKET_FLOATS), "date")
+
+
+@registered
+def daily_sales_merged(spark, sf_dir):
+    """Sales from states of five batches; users and products within three standard errors of the exact counts."""
+    sales = roles.sales_events(roles.events(spark, sf_dir))
+    parts = states.sales_states(sales.withColumn("part", F.col("user_id") % 5), by=["part"])
+    merged = states.sales_of(states.merge_sales_states(parts))
+    exact = sales.groupBy(F.to_date("event_time").alias("date")).agg(F.count_distinct("user_id").alias("users"), F.count_distinct("product_id").alias("products"))
+    error = 3 * 1.04 / 2 ** (states.LG_K / 2)
+    near = lambda estimate, n: F.abs(F.col(estimate) - F.col(n)) <= F.col(n) * error + 1
+    return text_dates(
+        merged.join(exact, "date").select(
+            "date", "sales_event_count", F.round("sales_total_revenue", 2).alias("sales_total_revenue"), F.round("sales_avg_price", 6).alias("sales_avg_price"),
+            near("sales_unique_users", "users").alias("users_near"), near("sales_unique_products", "products").alias("products_near"),
+        ),
+        "date",
+    )

@@ -27,8 +27,8 @@ EVENTS = StructType(
 CITIES = ("New York", "London", "Los Angeles", "Tokyo", "Sao Paulo")
 LATITUDES = (40.7128, 51.5074, 34.0522, 35.6762, -23.5505)
 LONGITUDES = (-74.006, -0.1278, -118.2437, 139.6503, -46.6333)
-FIRST_CATEGORY_ID = 2144415922528452000
-FIRST_USER_ID = 1515915625519380000
+FIRST_CATEGORY_ID = 3 * 2**59 + 5  # above 2^53: doubles would merge ids
+FIRST_USER_ID = 2**57 + 9
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

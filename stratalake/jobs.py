@@ -18,11 +18,15 @@ from .plans import bars, events, gold, landing, weather
 from .session import clear_scratch, get_session, staged
 from .sinks.tables import overwrite_table
 from .sources.files import list_files, weather_paths
+from .sources.manifest import landed_files
 
 
 def run_events(spark: SparkSession, args) -> None:
-    silver = events.events_to_silver(spark, args.input)
-    events.publish_events(silver, args.output, fmt=args.format, mode=args.mode or "append")
+    """Publish what keeps the contract; the others go to ``--rejects``, up to the share of ``--max-rejected``."""
+    result = events.split_events(spark, args.input, max_rejected=args.max_rejected)
+    events.publish_events(result.accepted, args.output, fmt=args.format, mode=args.mode or "append")
+    if args.rejects:
+        events.publish_events(result.rejected, args.rejects, fmt=args.format)
 
 
 def run_weather(spark: SparkSession, args) -> None:
@@ -31,7 +35,8 @@ def run_weather(spark: SparkSession, args) -> None:
 
 
 def run_bars(spark: SparkSession, args) -> None:
-    result = bars.bars_to_silver(spark, args.input, args.tickers)
+    landed = landed_files(spark, args.manifest) if args.manifest else None
+    result = bars.bars_to_silver(spark, args.input, args.tickers, landed=landed)
     bars.publish_bars(result.silver, args.output, fmt=args.format, mode=args.mode or "replace")
     outcome_tally(result.outcomes).show()
 
@@ -39,11 +44,12 @@ def run_bars(spark: SparkSession, args) -> None:
 def run_land(spark: SparkSession, args) -> None:
     """Land payloads; symbols that are fresh in the target are not fetched and count as passed."""
     stamp = args.batch_ts or f"{dt.datetime.now(dt.timezone.utc):%Y%m%d_%H%M%S}"
+    held = landed_files(spark, args.manifest) if args.manifest else list_files(spark, args.output, "*.csv")
     known = staged(
-        freshness(list_files(spark, args.output, "*.csv"), F.current_timestamp(), days=args.days, force_refresh=args.force_refresh),
+        freshness(held, F.current_timestamp(), days=args.days, force_refresh=args.force_refresh),
         "fresh",
     )
-    result = landing.land_payloads(spark, args.input, args.output, stamp)
+    result = landing.land_payloads(spark, args.input, args.output, stamp, args.manifest)
     outcome_tally(landing.with_skipped(result.outcomes, known)).show()
 
 
@@ -94,6 +100,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--output", required=True)
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--mode", choices=["replace", "append"])
+    parser.add_argument("--max-rejected", type=float, default=0.0)
+    parser.add_argument("--rejects")
+    parser.add_argument("--manifest")
     parser.add_argument("--cities", nargs="+", default=["all"])
     parser.add_argument("--city")
     parser.add_argument("--tickers", nargs="+")

@@ -85,12 +85,22 @@ def document_days(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("data.metadata").alias("metadata"), F.explode("data.data").alias("day"))
 
 
+# Line breaks inside quotes while a text is split: code points that stand for no character.
+_BREAKS, _HELD_BREAKS = "\r\n", "\ufdd0\ufdd1"
+
+
 def text_lines(payload: Column) -> Column:
-    return F.split(F.trim(payload, F.lit(" \t\r\n")), "\r?\n")
+    """Records of a CSV text; a line break inside quotes ends none.
+
+    Between quotes the parts of the text stand inside and outside of them in turn.
+    """
+    parts = F.transform(F.split(payload, '"'), lambda part, i: F.when(i % 2 == 1, F.translate(part, _BREAKS, _HELD_BREAKS)).otherwise(part))
+    held = F.when(payload.contains('"'), F.array_join(parts, '"')).otherwise(payload)
+    return F.split(F.trim(held, F.lit(" \t\r\n")), "\r?\n")
 
 
 # One cell of a CSV line and the comma after it: quoted with doubled quotes inside, or plain.
-CSV_CELL = r'\s*("(?:[^"]|"")*"|[^,]*)\s*,'
+CSV_CELL = r'\s*("(?:[^"]++|"")*+"|[^,]*)\s*,'
 
 
 def csv_cells(line: Column) -> Column:
@@ -103,7 +113,7 @@ def csv_cells(line: Column) -> Column:
     return F.transform(
         raw,
         lambda x: F.when(
-            x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+            x.startswith('"'), F.translate(F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"')), _HELD_BREAKS, _BREAKS)
         ).otherwise(F.nullif(F.trim(x), F.lit(""))),
     )
 

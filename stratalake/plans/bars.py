@@ -12,13 +12,15 @@ from ..functions.scores import filled_ratio
 from ..functions.timefeatures import to_day
 from ..operators.joins import drop_listed
 from ..operators.lineage import Run, stamp
-from ..operators.nesting import BAR_COLUMNS, item_rows, payload_items, text_lines
+from ..operators.nesting import BAR_COLUMNS, cell, header_names, header_positions
+from ..operators.order import order_report
 from ..operators.planning import latest_batch_files
 from ..operators.quality import QualityError, Rule, contract_gaps, outcome_by_key, repeated_keys, stage_and_check
 from ..schemas import SILVER_BARS, select_contract
 from ..session import scratch_path, staged
 from ..sinks.tables import BAR_PARTITIONS, write_partitioned
-from ..sources.files import list_files, read_text_files
+from ..sources.delimited import read_delimited
+from ..sources.files import list_files
 from .rules import BAR_NUMBER_RULES, BAR_NUMBERS, BAR_RULES
 
 # Fixed value: name of the source in the lineage columns.
@@ -51,26 +53,24 @@ class BarsResult:
     outcomes: DataFrame
 
 
-def bar_rows(texts: DataFrame) -> DataFrame:
-    """Parse ``ticker, path, value`` whole texts of CSV files with a header line.
+def bar_rows(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """Records of the listed CSV files (``ticker, path``), each field found by name in its file's own header.
 
-    Columns are found by name in each file's own first line; that line is parsed
-    once and every other line once, in one pass without a join.
+    A header is parsed once per file. ``split`` and ``place`` tell the order in the file.
     """
-    value = F.col("value")
-    items = texts.select(
-        "ticker", F.col("path").alias("source_file"), F.get(text_lines(value), F.lit(0)).alias("header"), payload_items(value).alias("items")
-    )
-    rows = item_rows(items, ["ticker", "source_file"])
+    records = read_delimited(spark, root, files, "ticker", header_positions(header_names(F.col("header"))))
     found = F.lit(True)
     for name in BAR_COLUMNS:
         found = found & (F.col(f"at_{name}") > 0)
-    return rows.select(
+    cells = F.col("cells")
+    return records.select(
         "ticker",
-        "source_file",
+        F.col("path").alias("source_file"),
+        "split",
+        "place",
         found.alias("columns_present"),
-        "timestamp",
-        *[F.col(c).try_cast("double").alias(c) for c in BAR_NUMBERS],
+        cell(cells, "timestamp").alias("timestamp"),
+        *[cell(cells, c).try_cast("double").alias(c) for c in BAR_NUMBERS],
     )
 
 
@@ -94,23 +94,43 @@ def drop_failed(rows: DataFrame, outcomes: DataFrame, key: str = "ticker") -> Da
     return drop_listed(rows, failed, [key])
 
 
+def _newest_files(spark: SparkSession, root: str, tickers: Sequence[str] | None, landed: DataFrame | None) -> DataFrame:
+    """``ticker, path`` of the newest batch of each ticker, staged so that its size is known."""
+    allowed = None
+    if tickers is not None:
+        allowed = staged(spark.createDataFrame([(t,) for t in tickers], "ticker string"), "tickers")
+    listed = list_files(spark, root, "*.csv") if landed is None else landed
+    return staged(latest_batch_files(listed, allowed=allowed), "newest")
+
+
+def order_outcomes(
+    spark: SparkSession, root: str, tickers: Sequence[str] | None = None, landed: DataFrame | None = None
+) -> DataFrame:
+    """Per ticker whether the days of its newest files go strictly one way, and how many do not."""
+    rows = bar_rows(spark, root, _newest_files(spark, root, tickers, landed))
+    dated = rows.select("ticker", F.col("source_file").alias("path"), "split", "place", to_day(F.col("timestamp")).alias("day"))
+    return order_report(staged(dated, "days"), "ticker", "day").select(
+        "ticker", F.when(F.col("out_of_order") > 0, F.lit("failed")).otherwise(F.lit("passed")).alias("status"), F.col("values").alias("row_count"), "out_of_order"
+    )
+
+
 def bars_to_silver(
     spark: SparkSession,
     root: str,
     tickers: Sequence[str] | None = None,
     run: Run | None = None,
+    landed: DataFrame | None = None,
 ) -> BarsResult:
     """Standardise the newest file of every ticker (or of the named ones).
 
-    One scan reads all files. A ticker whose file lacks a column, is empty, has no
+    ``landed`` (``path``) is what a manifest knows of the folder, which is listed
+    without it. Headers may differ from file to file, cells may hold line breaks,
+    and a large file is read by many tasks. A ticker whose file lacks a column, is empty, has no
     rows, holds an unreadable number or day, or has a day twice fails as a whole;
     the others go on. What is left keeps the contract of the table.
     """
-    allowed = None
-    if tickers is not None:
-        allowed = F.broadcast(spark.createDataFrame([(t,) for t in tickers], "ticker string"))
-    files = staged(latest_batch_files(list_files(spark, root, "*.csv"), allowed=allowed), "newest")
-    rows = bar_rows(read_text_files(spark, root, files, "ticker", whole=True))
+    files = _newest_files(spark, root, tickers, landed)
+    rows = bar_rows(spark, root, files)
     held, _ = stage_and_check(rows, BAR_NUMBER_RULES, scratch_path(spark, "bars"))
     by_ticker = outcome_by_key(held, [COLUMN_RULE, *BAR_NUMBER_RULES, DAY_RULE], "ticker")
     by_ticker = staged(_with_repeated_days(by_ticker, held), "outcomes")

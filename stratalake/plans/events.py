@@ -21,6 +21,8 @@ from .rules import EVENT_RULES
 
 # Fixed value: name of the source in the lineage columns.
 SOURCE_SYSTEM = "EcommerceEvents"
+# What differs from run to run, though the event is the same.
+RUN_COLUMNS = ("processing_timestamp", "batch_id", "record_id")
 EVENT_KEYS = ("event_time", "event_type", "product_id", "user_id", "user_session")
 
 
@@ -122,10 +124,12 @@ def _held_events(spark: SparkSession, path: str | Sequence[str], run: Run | None
 def publish_events(
     silver: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "append", rebalance: bool = True
 ) -> None:
-    """Add the events the table does not hold yet, by month and type.
+    """Add the events of source files the table does not hold yet, by month and type.
 
-    Time order inside each file serves period filters.
+    An event that a file holds twice is stored twice, however files are grouped into
+    batches; a file that comes again adds what is missing of it. Time order inside
+    each file serves period filters.
     """
     write_partitioned(
-        silver, path, EVENT_PARTITIONS, fmt=fmt, mode=mode, keys=["record_id"], sort_by=["event_time"], rebalance=rebalance
+        silver, path, EVENT_PARTITIONS, fmt=fmt, mode=mode, batch=["source_file"], run_columns=RUN_COLUMNS, sort_by=["event_time"], rebalance=rebalance
     )

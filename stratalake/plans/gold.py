@@ -32,12 +32,13 @@ DEFAULTS = {
 # A side with one short row per day is broadcast up to this many days (270 years).
 BROADCAST_DAYS = 100_000
 
+# Columns of the preview.
 PREVIEW = ("date", "sales_event_count", "sales_total_revenue", "market_avg_change_pct", "weather_avg_temp_c")
 
 
 @dataclass(frozen=True)
 class Period:
-    """What the daily table covers. The defaults are the standard report."""
+    """What the daily table covers. The defaults, fixed values, are the standard report."""
 
     start: dt.date = dt.date(2020, 9, 1)
     end: dt.date = dt.date(2021, 2, 28)

@@ -14,6 +14,7 @@ from ..operators.quality import outcome_by_key, stage_and_check
 from ..session import scratch_path, staged
 from ..sinks.tables import write_bar_files
 from ..sources.files import list_files, read_text_files
+from ..sources.manifest import record_landing
 from .bars import drop_failed
 from .rules import LANDED_BAR_RULES
 
@@ -96,13 +97,17 @@ def with_skipped(outcomes: DataFrame, fresh: DataFrame) -> DataFrame:
     return outcomes.unionByName(drop_listed(skipped, outcomes, ["symbol"]))
 
 
-def land_payloads(spark: SparkSession, payload_root: str, target: str, batch_ts: str) -> LandingResult:
-    """Read one payload per file, land the good ones as CSV under the batch stamp."""
+def land_payloads(
+    spark: SparkSession, payload_root: str, target: str, batch_ts: str, manifest: str | None = None
+) -> LandingResult:
+    """Read one payload per file, land the good ones as CSV under the batch stamp and record them."""
     files = list_files(spark, payload_root).select(path_key(F.col("path")).alias("symbol"), "path", "length")
     texts = read_text_files(spark, payload_root, files, "symbol", whole=True).select("symbol", "value")
     empty = files.filter("length = 0").select("symbol", F.lit("").alias("value"))
     result = inspect_payloads(texts.unionByName(empty))
     write_bar_files(result.bars.select("symbol", *BAR_COLUMNS), target, batch_ts)
+    if manifest:
+        record_landing(spark, target, manifest, batch_ts)
     return result
 
 

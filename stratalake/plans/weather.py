@@ -87,8 +87,8 @@ def weather_to_silver(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
 
 
 def publish_weather(silver: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "append") -> None:
-    """Add the days the table does not hold yet, by city and year."""
-    write_partitioned(silver, path, WEATHER_PARTITIONS, fmt=fmt, mode=mode, keys=["observation_date"], sort_by=["observation_date"])
+    """Add the days of documents the table does not hold yet, by city and year; a document is known by its ingestion time."""
+    write_partitioned(silver, path, WEATHER_PARTITIONS, fmt=fmt, mode=mode, batch=["ingestion_datetime"], sort_by=["observation_date"])
 
 
 def plan_fetch(

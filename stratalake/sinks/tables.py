@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import path_exists
+from ..session import path_exists, staged
 
 EVENT_PARTITIONS = ("year_month", "event_type")
 WEATHER_PARTITIONS = ("city", "year")
@@ -25,17 +25,23 @@ def write_partitioned(
     fmt: str = "parquet",
     mode: str = "append",
     keys: Sequence[str] = (),
+    batch: Sequence[str] = (),
+    run_columns: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     rebalance: bool = True,
     options: dict[str, str] | None = None,
 ) -> None:
     """Publish a table in folders by partition value.
 
-    ``append`` adds rows. With ``keys`` it adds only those whose key the table
-    does not hold yet, compared within the partitions ``df`` touches, so a batch
-    may hold part of a partition and a repeated run changes nothing. ``replace``
-    is for batches that hold their partitions whole: it overwrites exactly those
-    and leaves the others alone.
+    ``append`` adds rows. ``batch`` names the columns that tell which delivery a
+    row came with, such as its source file. Rows of a delivery that the table does
+    not know are added as they are, equal ones too; of a known one, only as many of
+    each row as are missing. So the table is the same however deliveries are
+    grouped and repeated, and may be published in part. ``run_columns`` differ from
+    run to run and are not compared. ``keys`` is for tables that hold a key once:
+    rows with a stored key are left out. Both look only at the partitions ``df``
+    touches. ``replace`` is for batches that hold their partitions whole: it
+    overwrites exactly those and leaves the others alone.
 
     Rows are rebalanced by partition value first: small partitions share a task
     and get few files, a partition with most of the rows is split over many
@@ -45,7 +51,9 @@ def write_partitioned(
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown mode {mode!r}")
-    if mode == "append" and keys:
+    if mode == "append" and batch:
+        df = _surplus(df, path, partitions, batch, run_columns, fmt)
+    elif mode == "append" and keys:
         df = _not_held(df, path, partitions, keys, fmt)
     spread = df.hint("rebalance", *partitions) if rebalance else df
     writer = spread.sortWithinPartitions(*partitions, *sort_by).write.format(fmt).partitionBy(*partitions).options(**(options or {}))
@@ -73,6 +81,45 @@ def _not_held(df: DataFrame, path: str, partitions: Sequence[str], keys: Sequenc
     return df.join(held, match, "left_anti")
 
 
+def _equal(names: Sequence[str], other: str) -> list:
+    return [F.col(c).eqNullSafe(F.col(f"{other}{c}")) for c in names]
+
+
+def _surplus(
+    df: DataFrame, path: str, partitions: Sequence[str], batch: Sequence[str], run_columns: Sequence[str], fmt: str
+) -> DataFrame:
+    """``df`` less the rows that the table holds from the same deliveries, by number of occurrences.
+
+    A delivery new to a partition is found by names alone and its rows are not
+    shuffled. Rows of a known one are counted against the stored ones by one
+    aggregate that combines first, so a row repeated very often is no hot key.
+    """
+    spark = df.sparkSession
+    if not path_exists(spark, path):
+        return df
+    reader = spark.read.format(fmt)
+    stored = (reader if fmt == "delta" else reader.schema(df.schema)).load(path)
+    place = list(dict.fromkeys([*partitions, *batch]))
+    here = staged(df.select(*place).distinct(), "deliveries")
+    ends = here.agg(*[end(c) for c in partitions for end in (F.min, F.max)]).first()
+    for c, low, high in zip(partitions, ends[::2], ends[1::2]):  # constants prune the folders that are read
+        stored = stored.filter(F.col(c).isNull() if low is None else F.col(c).isNull() | F.col(c).between(low, high))
+    other = here.withColumnsRenamed({c: f"held_{c}" for c in place})
+    known = staged(stored.select(*place).join(other, _equal(place, "held_"), "left_semi").distinct(), "known-deliveries")
+    if known.isEmpty():
+        return df
+    known = known.withColumnsRenamed({c: f"held_{c}" for c in place})
+    again, held = (frame.join(known, _equal(place, "held_"), "left_semi") for frame in (df, stored))
+    content = [c for c in df.columns if c not in run_columns]
+    copies = next(n for n in ("copies", "copies_", "copies__") if n not in df.columns)
+    counted = again.withColumn(copies, F.lit(1)).unionByName(
+        held.select(*content, F.lit(-1).alias(copies)), allowMissingColumns=True
+    )
+    missing = counted.groupBy(*content).agg(F.sum(copies).alias(copies), *[F.max(c).alias(c) for c in run_columns])
+    each = missing.filter(F.col(copies) > 0).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+    return df.join(known, _equal(place, "held_"), "left_anti").unionByName(each.select(*df.columns))
+
+
 def overwrite_table(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
     """Replace a table and its columns."""
     writer = df.write.format(fmt).mode("overwrite")

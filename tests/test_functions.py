@@ -1,5 +1,7 @@
 import datetime as dt
 
+from itertools import product
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,22 +40,11 @@ def test_category_levels(spark, code, levels):
     assert values(df.select(*category_levels(F.col("code")))) == [levels]
 
 
-@pytest.mark.parametrize(
-    "category, brand, score",
-    [
-        (None, None, 0.0),
-        ("", "", 0.0),
-        ("", None, 0.0),
-        (None, "fiskar", 0.4),
-        ("", "fiskar", 0.4),
-        ("garden", None, 0.6),
-        ("garden", "", 0.6),
-        ("garden", "fiskar", 1.0),
-    ],
-)
-def test_event_confidence(spark, category, brand, score):
+@pytest.mark.parametrize("category, brand", product((None, "", "word"), repeat=2))
+def test_event_confidence(spark, category, brand):
+    """Six tenths for a category and four for a brand."""
     df = spark.createDataFrame([(category, brand)], "category_level_1 string, brand string")
-    assert values(df.select(event_confidence())) == [(score,)]
+    assert values(df.select(event_confidence())) == [(round(0.6 * bool(category) + 0.4 * bool(brand), 2),)]
 
 
 def test_weather_confidence(spark):

@@ -559,6 +559,14 @@ def statements() -> dict[str, str]:
                    round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value), 6) AS sales_avg_price,
                    true AS users_near, true AS products_near
             FROM ev GROUP BY 1""",
+        "documents_split": f"""{oracle_with("readings")}
+            SELECT city, CAST(month(day) AS INT) AS month, CASE WHEN city IN ('Tokyo', 'London') THEN 'failed' ELSE 'passed' END AS status,
+                   CAST(CASE WHEN city IN ('Tokyo', 'London') THEN 0 ELSE count(*) END AS BIGINT) AS stored_rows
+            FROM readings GROUP BY city, year(day), month(day)""",
+        "bars_as_of": f"""{oracle_with("bars")}
+            SELECT '2024-02-05' AS as_of, ticker, {day("trade_date")} AS trade_date, round(close, 6) AS close_price FROM bars
+            UNION ALL
+            SELECT '2024-02-20', ticker, {day("trade_date")}, round(close + CASE WHEN ticker IN ('view', 'click') THEN 1 ELSE 0 END, 6) FROM bars""",
         "events_append_twice": f"""{oracle_with("raw_events")}
             SELECT event_type, CAST(2 * count(*) AS BIGINT) AS row_count FROM raw_events GROUP BY 1""",
         "weather_from_documents": f"""{oracle_with("weather")}

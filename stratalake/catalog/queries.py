@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.scores import event_confidence, filled_ratio, weather_confidence
 from ..functions.text import batch_time, blank_to_null, category_levels, path_batch, path_key, slug
 from ..functions.timefeatures import add_time_features
-from ..operators import calendar, daily, nesting, planning, quality, states
+from ..operators import calendar, daily, nesting, planning, quality, states, versions
 from ..operators.lineage import Run, row_id
 from ..plans import bars as bar_plan
 from ..plans import events as event_plan
@@ -825,8 +825,7 @@ def fetch_cycle(spark, sf_dir):
     return text_dates(both.select("cycle", "city", "date", "status"), "date")
 
 
-@registered
-def document_outcomes(spark, sf_dir):
+def _write_spoiled_documents(spark: SparkSession, sf_dir: str) -> str:
     """Landed documents, those of two cities cut short or left without days."""
     docs = _documents(spark, sf_dir).withColumn("whole", F.to_json(F.struct("city", "year", "month", "data", "s3_key")))
     spoiled = docs.select(
@@ -837,11 +836,49 @@ def document_outcomes(spark, sf_dir):
     )
     root = scratch_path(spark, "documents")
     spoiled.withColumn("n", F.col("month")).drop("month").write.partitionBy("city", "year", "n").text(root)
-    outcomes = weather_plan.document_outcomes(spark, root)
-    place = outcomes.select(
+    return root
+
+
+def _by_city_month(outcomes: DataFrame) -> DataFrame:
+    return outcomes.select(
         F.regexp_extract("path", "city=([^/]+)/", 1).alias("city"), F.regexp_extract("path", "year=([0-9]+)/n=([0-9]+)/", 2).cast("int").alias("month"), "status", "reason", "row_count"
     )
-    return place
+
+
+@registered
+def document_outcomes(spark, sf_dir):
+    """The ledger of documents, some of them spoiled."""
+    return _by_city_month(weather_plan.document_outcomes(spark, _write_spoiled_documents(spark, sf_dir)))
+
+
+@registered
+def documents_split(spark, sf_dir):
+    """Spoiled documents are set aside and the others published: rows stored beside each outcome."""
+    result = weather_plan.split_documents(spark, _write_spoiled_documents(spark, sf_dir))
+    target = scratch_path(spark, "silver-weather")
+    weather_plan.publish_weather(result.silver, target)
+    stored = sources.read_table(spark, target).groupBy("city", F.month("observation_date").alias("month")).agg(F.count("*").alias("stored_rows"))
+    outcomes = _by_city_month(result.outcomes).withColumn("place", slug(F.col("city")))
+    met = outcomes.join(stored.withColumnRenamed("city", "place"), ["place", "month"], "left")
+    return met.select("city", "month", "status", F.coalesce("stored_rows", F.lit(0).cast("long")).alias("stored_rows"))
+
+
+AS_OF = ("2024-02-05", "2024-02-20")
+
+
+@registered
+def bars_as_of(spark, sf_dir):
+    """Bars restated twice for some tickers, as they were known at two dates."""
+    bars = roles.silver_bars(roles.events(spark, sf_dir)).select("ticker", "trade_date", "close_price")
+    known = [
+        (bars, "2024-02-01", 0), (bars.filter("ticker IN ('view', 'click')"), "2024-02-10", 1), (bars.filter("ticker = 'view'"), "2024-03-01", 2),
+    ]
+    parts = [part.withColumns({"close_price": F.col("close_price") + more, "known_from": F.to_timestamp(F.lit(day))}) for part, day, more in known]
+    every = versions.close_versions(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["ticker", "trade_date"], "known_from", "known_to")
+    held = staged(every, "versions")
+    reads = [versions.as_of(held, F.to_timestamp(F.lit(day)), "known_from", "known_to").withColumn("as_of", F.lit(day)) for day in AS_OF]
+    read = reads[0].unionByName(reads[1])
+    return text_dates(read.select("as_of", "ticker", "trade_date", F.round("close_price", 6).alias("close_price")), "trade_date")
 
 
 @registered

@@ -30,8 +30,11 @@ def run_events(spark: SparkSession, args) -> None:
 
 
 def run_weather(spark: SparkSession, args) -> None:
-    silver = weather.weather_to_silver(spark, weather_paths(args.input, args.cities))
-    weather.publish_weather(silver, args.output, fmt=args.format, mode=args.mode or "append")
+    result = weather.split_documents(spark, weather_paths(args.input, args.cities), args.max_rejected)
+    weather.publish_weather(result.silver, args.output, fmt=args.format, mode=args.mode or "append")
+    if args.rejects:
+        weather.publish_weather(result.rejected, args.rejects, fmt=args.format)
+    outcome_tally(result.outcomes).show()
 
 
 def run_bars(spark: SparkSession, args) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,14 +11,15 @@ from pyspark.sql import functions as F
 from ..functions.scores import weather_confidence
 from ..functions.text import slug
 from ..functions.timefeatures import to_day
+from ..operators.joins import drop_listed
 from ..operators.lineage import Run
 from ..operators.nesting import DOCUMENT_PREFIX, document_days, monthly_documents
 from ..operators.planning import days_to_fetch, document_keys, missing_months
-from ..operators.quality import QualityError, contract_gaps, stage_and_check
-from ..schemas import SILVER_WEATHER, WEATHER_DOCUMENT, select_contract
+from ..operators.quality import QualityError, breaks_any, broken_rules, contract_gaps, stage_and_check
+from ..schemas import SILVER_WEATHER, WEATHER_DAY, WEATHER_METADATA, select_contract
 from ..session import scratch_path, staged
 from ..sinks.tables import WEATHER_PARTITIONS, write_documents, write_partitioned
-from ..sources.files import list_files, read_document_texts, read_weather_documents
+from ..sources.files import list_files, read_document_texts
 from .rules import WEATHER_RULES
 
 
@@ -48,15 +50,27 @@ def standardize_weather(documents: DataFrame) -> DataFrame:
     return select_contract(flat.withColumn("data_confidence_score", weather_confidence()), SILVER_WEATHER)
 
 
-def document_outcomes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Per document file whether its readings can become rows, with the reason if not."""
-    files = read_document_texts(spark, paths)
-    data = F.from_json("value", WEATHER_DOCUMENT, {"mode": "PERMISSIVE"})["data"]
-    days = F.coalesce(data["data"], F.array())
-    undated = F.size(F.filter(days, lambda d: to_day(d["date"]).isNull()))
-    parsed = files.select(
-        "path", F.try_parse_json("value").isNotNull().alias("is_json"), data["metadata"].isNotNull().alias("has_metadata"),
-        F.size(days).cast("bigint").alias("row_count"), undated.alias("undated"),
+def parsed_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``path, doc``: every document parsed once, as a VARIANT in the shared folder; null if it is no JSON.
+
+    Both the ledger and the rows are read from it.
+    """
+    return staged(read_document_texts(spark, paths).select("path", F.try_parse_json("value").alias("doc")), "documents")
+
+
+def _typed(parsed: DataFrame) -> DataFrame:
+    """``path, is_json, metadata, days`` of parsed documents; what does not fit a type is null."""
+    days = F.try_variant_get("doc", "$.data.data", f"array<{WEATHER_DAY.simpleString()}>")
+    return parsed.select(
+        "path", F.col("doc").isNotNull().alias("is_json"),
+        F.try_variant_get("doc", "$.data.metadata", WEATHER_METADATA.simpleString()).alias("metadata"), F.coalesce(days, F.array()).alias("days"),
+    )
+
+
+def _ledger(parsed: DataFrame) -> DataFrame:
+    judged = _typed(parsed).select(
+        "path", "is_json", F.col("metadata").isNotNull().alias("has_metadata"), F.size("days").cast("bigint").alias("row_count"),
+        F.size(F.filter("days", lambda d: to_day(d["date"]).isNull())).alias("undated"),
     )
     reason = (
         F.when(~F.col("is_json"), F.lit("unreadable"))
@@ -64,26 +78,56 @@ def document_outcomes(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
         .when(F.col("row_count") == 0, F.lit("no readings"))
         .when(F.col("undated") > 0, F.lit("reading without a date"))
     )
-    return parsed.select(
+    return judged.select(
         "path", F.when(reason.isNull(), F.lit("passed")).otherwise(F.lit("failed")).alias("status"), reason.alias("reason"), "row_count"
     )
 
 
-def weather_to_silver(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Read, standardise and check all documents below the paths.
+def document_outcomes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Per document file whether its readings can become rows, with the reason if not."""
+    return _ledger(parsed_documents(spark, paths))
+
+
+@dataclass(frozen=True)
+class WeatherResult:
+    """Readings that keep the contract, those that break it with the rules, and an outcome per document."""
+
+    silver: DataFrame
+    rejected: DataFrame
+    outcomes: DataFrame
+
+
+def split_documents(spark: SparkSession, paths: str | Sequence[str], max_rejected: float = 1.0) -> WeatherResult:
+    """Read all documents once and part them, and their readings, by what is wrong with them.
 
-    A document that cannot be read, or a reading without a date, raises.
+    Raises if more than ``max_rejected`` of the documents, or of the readings, are refused.
     """
-    unreadable = document_outcomes(spark, paths).filter("status = 'failed'").limit(5).collect()
-    if unreadable:
-        raise QualityError(f"weather: {[(r.path, r.reason) for r in unreadable]}")
-    silver = standardize_weather(read_weather_documents(spark, paths))
+    parsed = parsed_documents(spark, paths)
+    outcomes = staged(_ledger(parsed), "document-outcomes")
+    refused = outcomes.filter("status = 'failed'")
+    failed, total = outcomes.agg(F.count_if(F.col("status") == "failed"), F.count("*")).first()
+    if failed > max_rejected * total:
+        raise QualityError(f"weather: {failed} of {total} documents, as {[(r.path, r.reason) for r in refused.limit(5).collect()]}")
+    read = _typed(drop_listed(parsed, refused.select("path"), ["path"]))
+    documents = read.select(F.struct("metadata", F.col("days").alias("data")).alias("data"))
+    silver = standardize_weather(documents)
     gaps = contract_gaps(silver, SILVER_WEATHER)
     if gaps:
         raise QualityError(f"weather: {gaps}")
     held, result = stage_and_check(silver, WEATHER_RULES, scratch_path(spark, "weather"))
-    result.require("weather")
-    return held
+    broken = held.filter(breaks_any(WEATHER_RULES))
+    if not result.passed and broken.count() > max_rejected * result.rows:
+        result.require("weather")
+    return WeatherResult(held.filter(~breaks_any(WEATHER_RULES)), broken.withColumn("broken_rules", broken_rules(WEATHER_RULES)), outcomes)
+
+
+def weather_to_silver(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Read, standardise and check all documents below the paths.
+
+    A document that cannot be read, a reading without a date or one that breaks a
+    rule raises; :func:`split_documents` sets them aside instead.
+    """
+    return split_documents(spark, paths, max_rejected=0.0).silver
 
 
 def publish_weather(silver: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "append") -> None:

@@ -280,3 +280,18 @@ def test_missing_months_equals_the_anti_join(spark):
     plain = missing_documents(month_plan(cities, "2010-03", "2020-11"), keys.distinct())
     assert sorted(map(tuple, fast.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
     assert fast.filter("city = 'Rome'").count() == 129
+
+
+def test_bad_documents_and_readings_are_set_aside(spark, tmp_path):
+    land(tmp_path / "in", document([record("2024-01-05"), record("2024-01-06")], month=1))
+    land(tmp_path / "in", document([record("2024-02-05")], month=2))
+    folder = tmp_path / "in" / "city=x" / "year=2024"
+    folder.mkdir(parents=True)
+    (folder / "03.json").write_text('{"data": {"metadata"')
+    result = plan.split_documents(spark, weather_paths(str(tmp_path / "in"), ["all"]))
+    assert result.silver.count() == 3 and result.rejected.count() == 0
+    assert sorted((r.status, r.reason) for r in result.outcomes.collect() if r.status == "failed") == [("failed", "unreadable")]
+    for frame in (result.silver, result.rejected, result.outcomes):  # texts are parsed once, when they are staged
+        assert "json" not in frame._jdf.queryExecution().optimizedPlan().toString().lower()
+    with pytest.raises(QualityError, match="unreadable"):
+        plan.split_documents(spark, weather_paths(str(tmp_path / "in"), ["all"]), max_rejected=0.3)

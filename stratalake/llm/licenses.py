@@ -66,7 +66,8 @@ def _machine():
     patterns, reach = [], []
     for n, notice in enumerate(NOTICES):
         edits = allowed_edits(notice)
-        patterns.append(regex.compile(rf"(?be)(?:{regex.escape(notice)}){{e<={edits}}}"))
+        wanted = rf"(?:{regex.escape(notice)}){{e<={edits}}}"
+        patterns.append((regex.compile(f"(?e){wanted}"), regex.compile(f"(?be){wanted}")))
         reach.append((len(notice), edits))
         for at, piece in seeds(notice, edits):
             pieces.setdefault(piece, []).append((n, at))
@@ -77,6 +78,17 @@ def _machine():
     return machine, patterns, reach, list(NOTICES.items())
 
 
+def _places(near, best, text: str, low: int, high: int, length: int, edits: int) -> Iterator:
+    """Matches in a part of the text one after the other, each the best one where it was found.
+
+    The best match of a whole area would hide a worse one before it.
+    """
+    while match := near.search(text, low, high):
+        match = best.search(text, match.start(), min(high, match.start() + length + 2 * edits)) or match
+        yield match
+        low = max(match.end(), low + 1)
+
+
 def fuzzy_notices(text: str) -> list[tuple[str, str, int, int, int]]:
     """``(label, notice, start, end, edits)`` in a text of words joined by blanks.
 
@@ -97,7 +109,7 @@ def fuzzy_notices(text: str) -> list[tuple[str, str, int, int, int]]:
     found = []
     for n, places in areas.items():
         for low, high in places:
-            for match in patterns[n].finditer(text, low, high):
+            for match in _places(*patterns[n], text, low, high, *reach[n]):
                 found.append((notices[n][1], notices[n][0], match.start(), match.end(), sum(match.fuzzy_counts)))
     return sorted(found, key=lambda x: (x[2], x[3], x[1]))
 

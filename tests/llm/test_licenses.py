@@ -54,6 +54,13 @@ def test_seeds_lose_nothing():
             assert any(n == notice and a < whole.end() and whole.start() < b for _, n, a, b, _ in fuzzy_notices(text))
 
 
+@pytest.mark.parametrize("first,second", [("mozilla publik license", "mozilla public license"), ("mozilla public license", "mozila public license"), ("mozilla publik license", "mozilla publiclicense")])
+def test_notices_next_to_each_other(first, second):
+    """A fuzzy notice is not hidden by a better one behind it."""
+    found = [(a, b) for label, _, a, b, _ in fuzzy_notices(f"x {first} {second} y") if label == "mpl"]
+    assert found == [(2, 2 + len(first)), (3 + len(first), 3 + len(first) + len(second))]
+
+
 def test_spans_point_into_the_original():
     text = "Ünder MPL:  (Mozilla   Publik Licence) applies."
     *_, labels, score, spans = scan_text(text.encode())

@@ -340,6 +340,7 @@ def statements() -> dict[str, str]:
             SELECT * REPLACE ({day("date")} AS date) FROM day_weather""",
         "gold_daily": f"{GOLD} {SELECT_GOLD}",
         "gold_published": f"{DAMPED_GOLD} {SELECT_GOLD}",
+        "gold_incremental": f"{DAMPED_GOLD} {SELECT_GOLD}",
         "gold_preview": f"""{GOLD} SELECT {day("date")} AS date, sales_event_count, sales_total_revenue,
             market_avg_change_pct, weather_avg_temp_c FROM gold ORDER BY gold.date LIMIT 10""",
         "gold_summary": f"""{GOLD} SELECT CAST(count(*) AS BIGINT) AS row_count, {day("min(date)")} AS first_day,

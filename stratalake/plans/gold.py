@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from ..operators.daily import daily_market, daily_sales, daily_weather
 from ..operators.lineage import Run
 from ..operators.quality import Check, check
 from ..schemas import GOLD_DAILY, select_contract
+from ..session import path_exists, staged
 from ..sinks.tables import overwrite_table, preview, summary
 from ..sources.files import read_table
 from .rules import GOLD_SOURCE, GOLD_VERSION, gold_rules
@@ -122,6 +123,53 @@ def publish_gold(gold: DataFrame, period: Period, path: str, *, fmt: str = "parq
         kept.unpersist()
 
 
+def changed_days(events: DataFrame | None = None, bars: DataFrame | None = None, weather: DataFrame | None = None) -> DataFrame:
+    """Days that new rows of the standardised tables belong to: ``date``, each once."""
+    parts = [
+        rows.select(F.to_date(column).alias("date"))
+        for rows, column in ((events, "event_time"), (bars, "trade_date"), (weather, "observation_date")) if rows is not None
+    ]
+    days = parts[0]
+    for part in parts[1:]:
+        days = days.unionByName(part)
+    return days.filter(F.col("date").isNotNull()).distinct()
+
+
+def refresh_gold(
+    spark: SparkSession,
+    changed: DataFrame,
+    events: DataFrame,
+    bars: DataFrame,
+    weather: DataFrame,
+    period: Period,
+    run: Run,
+    path: str,
+    *,
+    fmt: str = "parquet",
+) -> GoldResult:
+    """Bring the daily table up to date after new rows, from the days they belong to alone.
+
+    ``events``, ``bars`` and ``weather`` are the whole standardised tables, ``changed``
+    the days to read again; their first and last one bound the scans. All other days
+    keep their row. The whole new table is gated before it takes the old one's
+    place. Without a stored table all days are built.
+    """
+    if not path_exists(spark, path):
+        return publish_gold(build_gold(spark, events, bars, weather, period, run), period, path, fmt=fmt)
+    days = staged(changed.filter(F.col("date").between(period.start, period.end)), "changed-days")  # a day of the period at most once
+    first, last = days.agg(F.min("date"), F.max("date")).first()
+    stored = read_table(spark, path, fmt)
+    if first is None:
+        return publish_gold(staged(stored, "gold"), period, path, fmt=fmt)
+    whole_last = period.whole_last_day or last < period.end
+    part = replace(period, start=first, end=last, whole_last_day=whole_last)
+    of = lambda rows, column: rows.join(F.broadcast(days), F.to_date(column) == days["date"], "left_semi")
+    fresh = build_gold(spark, of(events, "event_time"), of(bars, "trade_date"), of(weather, "observation_date"), part, run)
+    kept = stored.join(F.broadcast(days), "date", "left_anti")
+    merged = kept.unionByName(fresh.join(F.broadcast(days), "date", "left_semi"))
+    return publish_gold(staged(select_contract(merged, GOLD_DAILY), "gold"), period, path, fmt=fmt)
+
+
 def run_gold(
     spark: SparkSession,
     silver_root: str,

@@ -3,7 +3,9 @@
 The model is a logistic regression over the presence of words and word beginnings. Besides the usual
 loss it pays for every labelled sentence that names an identity: the sentence is
 copied with the term swapped for another one of the same kind, and the squared
-difference of the two scores is added (logit pairing). Scores then hardly depend
+difference of the two scores, as log odds, is added (logit pairing). Few sentences
+name one, so a quarter of the others, drawn by hash, get a copy with the same label
+that mentions a term, also drawn by hash, and its swaps. Scores then hardly depend
 on which group a text mentions, so neutral mentions are not taken for attacks.
 
 Words are chosen by how much their document frequencies differ between labels,
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +42,14 @@ IDENTITIES = {
     "ability": ["blind", "deaf", "disabled", "autistic"],
     "age": ["old", "young", "elderly", "teenage"],
 }
+# Terms whose plural ends in s; plurals are swapped for plurals.
+_PLURAL = {"gender": ("female", "male", "girl", "boy"), "orientation": ("gay", "lesbian", "bisexual", "homosexual", "heterosexual")}
+_PLURAL |= {"religion": tuple(t for t in IDENTITIES["religion"] if t != "jewish"), "origin": tuple(t for t in IDENTITIES["origin"] if t != "chinese")}
+IDENTITIES |= {f"{kind}, plural": [f"{t}s" for t in terms] for kind, terms in _PLURAL.items()}
 KIND_OF = {term: kind for kind, terms in IDENTITIES.items() for term in terms}
+TERMS = sorted(KIND_OF)
+# One in this many training rows without an identity gets a copy that mentions one.
+MENTION_ONE_IN = 4
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -143,6 +153,26 @@ def fit(samples: list[tuple[int, list[int]]], pairs: list[tuple[int, int]], n_wo
     return weights * scale, bias
 
 
+def counterfactuals(found: list[tuple[int, list[str], list[str]]], place: dict[str, int]) -> tuple[list, list]:
+    """Samples and pairs of :func:`fit` from ``(toxic, words, identity terms)`` of the training rows."""
+    samples, pairs = [], []
+
+    def swap(term: str) -> None:
+        pairs.extend((place[term], place[o]) for o in IDENTITIES[KIND_OF[term]] if o != term)
+
+    for toxic, words, swaps in found:
+        features = sorted(place[w] for w in words)
+        samples.append((int(toxic > 0), features))
+        for term in swaps:
+            swap(term)
+        drawn = zlib.crc32(f"{toxic} {' '.join(sorted(words))}".encode())
+        if not swaps and drawn % MENTION_ONE_IN == 0:
+            term = TERMS[drawn // MENTION_ONE_IN % len(TERMS)]
+            samples.append((int(toxic > 0), sorted([*features, place[term]])))
+            swap(term)
+    return samples, pairs
+
+
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, max_words: int = MAX_WORDS, pairing: float = 10.0) -> tuple[dict[str, float], float]:
     """Weights per word and the intercept. What reaches the driver is bounded by ``max_rows`` and ``max_words``."""
     rows = staged(training_rows(docs, labels, max_rows), "training")
@@ -151,13 +181,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, ma
     place = {w: i for i, w in enumerate(words)}
     listed = F.array(*[F.lit(w) for w in words])
     found = rows.select("toxic", F.array_intersect("words", listed).alias("words"), "swaps").orderBy(F.xxhash64("words", "toxic"), "toxic").collect()
-    samples, pairs = [], []
-    for r in found:
-        samples.append((int(r.toxic > 0), sorted(place[w] for w in r.words)))
-        for term in r.swaps:
-            pairs += [(place[term], place[o]) for o in IDENTITIES[KIND_OF[term]] if o != term]
     release(rows)
-    weights, bias = fit(samples, pairs, len(words), pairing)
+    weights, bias = fit(*counterfactuals([tuple(r) for r in found], place), len(words), pairing)
     return {w: float(weights[i]) for w, i in place.items() if weights[i]}, bias
 
 

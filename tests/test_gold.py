@@ -124,6 +124,22 @@ def test_gate_lets_good_tables_through(spark, inputs, tmp_path):
     assert read_table(spark, path).count() == 4
 
 
+def test_refresh_touches_only_changed_days(spark, inputs, tmp_path):
+    events, bars, weather = inputs
+    period, path = plan.Period(start=D1, end=dt.date(2020, 9, 4)), str(tmp_path / "gold")
+    later = Run("later", dt.datetime(2024, 1, 11, 12))
+    early = events.filter(F.to_date("event_time") != D3)
+    plan.refresh_gold(spark, plan.changed_days(early), early, bars, weather, period, RUN, path)
+    late = events.filter(F.to_date("event_time") == D3)
+    result = plan.refresh_gold(spark, plan.changed_days(late), events, bars, weather, period, later, path)
+    same = [c for c in GOLD_DAILY.fieldNames() if c != "processing_timestamp"]
+    want = build(spark, inputs).select(same).orderBy("date").collect()
+    assert result.table.select(same).orderBy("date").collect() == want
+    assert {r.date: r.processing_timestamp.day for r in result.table.collect()} == {D1: 10, D2: 10, D3: 11, dt.date(2020, 9, 4): 10}
+    nothing = plan.refresh_gold(spark, plan.changed_days(late.limit(0)), events, bars, weather, period, later, path)
+    assert nothing.table.select(same).orderBy("date").collect() == want
+
+
 @pytest.mark.parametrize(
     "column, value, rule",
     [

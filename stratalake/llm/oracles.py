@@ -37,3 +37,44 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
                               THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM placed
 """
+
+
+def _codes_sql(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
+    """Product codes: the rounds written out one after the other."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""d{i} AS MATERIALIZED (
+  SELECT x.rid, x.part, b.entry, sum((x.x - b.c) * (x.x - b.c))::BIGINT AS dist
+  FROM x JOIN b{i} b ON x.part = b.part AND x.place = b.place GROUP BY ALL
+), a{i} AS MATERIALIZED (
+  SELECT rid, part, arg_min(entry, dist * 256::HUGEINT + entry) AS entry, min(dist) AS dist FROM d{i} GROUP BY ALL
+)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (
+  SELECT a.part, x.place, a.entry, sum(x.x)::BIGINT AS s, count(*) AS n
+  FROM x JOIN a{i} a ON x.rid = a.rid AND x.part = a.part GROUP BY ALL
+), b{i + 1} AS MATERIALIZED (
+  SELECT b.part, b.place, b.entry, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, b.c) AS c
+  FROM b{i} b LEFT JOIN m{i} m ON b.part = m.part AND b.place = m.place AND b.entry = m.entry
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, list_transform(embedding, lambda v: floor(4096 * v::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), x AS MATERIALIZED (
+  SELECT rid, d // (n // {parts}) AS part, d % (n // {parts}) AS place, x
+  FROM (SELECT rid, len(v) AS n, unnest(v) AS x, unnest(range(len(v))) AS d FROM kept)
+), b0 AS (
+  SELECT part, place, rid - 1 AS entry, x AS c FROM x WHERE rid <= {entries}
+), {", ".join(steps)}, coded AS (
+  SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(dist)::BIGINT AS error FROM a{rounds} GROUP BY rid
+), books AS (
+  SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM b{rounds}
+)
+SELECT k.vec_id, c.code, c.error, (sum(c.error) OVER (PARTITION BY k.label))::BIGINT AS label_error, books.codebooks_sha256
+FROM kept k JOIN coded c ON k.rid = c.rid CROSS JOIN books
+"""
+
+
+OP12 = _codes_sql()

@@ -78,3 +78,58 @@ FROM kept k JOIN coded c ON k.rid = c.rid CROSS JOIN books
 
 
 OP12 = _codes_sql()
+
+
+def _spelling_sql() -> str:
+    """Spelling variants: a CRC-32 by half bytes, and all pairs of words of fitting lengths.
+
+    ``levenshtein`` counts bytes, so each accented letter is first written as one byte.
+    ``form_n`` is a long with nulls, which data frames hold as doubles.
+    """
+    table = []
+    for c in range(16):
+        for _ in range(4):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(str(c))
+    accented = "".join(chr(c) for c in range(0xC0, 0x100))
+    plain = "".join(chr(c) for c in range(0x20, 0x7F) if not chr(c).islower() and chr(c) != "'")[: len(accented)]
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, '{upper}', '{upper.lower()}') AS run, count(*) AS n
+  FROM (SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z{accented[0]}-{accented[-1]}]{{6,}}')) AS run FROM documents)
+  GROUP BY ALL
+), hashed AS MATERIALIZED (
+  SELECT run, n, xor(4294967295::BIGINT, list_reduce(
+           list_prepend(4294967295::BIGINT, flatten(list_transform(range(octet_length(encode(doc_id || ':' || run))),
+             lambda i: [('0x' || substr(hex(encode(doc_id || ':' || run)), 2 * i + 2, 1))::BIGINT, ('0x' || substr(hex(encode(doc_id || ':' || run)), 2 * i + 1, 1))::BIGINT]))),
+           lambda c, b: xor(c >> 4, ([{", ".join(table)}]::BIGINT[])[(xor(c, b) & 15) + 1]))) AS h
+  FROM runs
+), words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n, length(word) AS chars, translate(word, '{accented}', '{plain}') AS bytes
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), pairs AS MATERIALIZED (
+  SELECT a.word AS a, a.n AS n_a, b.word AS b, b.n AS n_b FROM words a JOIN words b ON a.chars = b.chars AND a.word < b.word WHERE levenshtein(a.bytes, b.bytes) = 1
+  UNION ALL
+  SELECT a.word, a.n, b.word, b.n FROM words a JOIN words b ON a.chars + 1 = b.chars WHERE levenshtein(a.bytes, b.bytes) = 1
+), near AS (
+  SELECT a AS word, n_a AS n, b AS other, n_b AS m FROM pairs UNION ALL SELECT b, n_b, a, n_a FROM pairs
+), best AS (
+  SELECT word, n, count(*) AS n_near, max(m) AS m FROM near GROUP BY word, n
+), forms AS MATERIALIZED (
+  SELECT best.word, n_near, CASE WHEN best.m >= 5 * best.n THEN min(other) END AS form, CASE WHEN best.m >= 5 * best.n THEN best.m END AS form_n
+  FROM best JOIN near ON best.word = near.word AND best.m = near.m GROUP BY best.word, best.n, n_near, best.m
+), ways AS (
+  SELECT word, form AS reached, 1 AS step FROM forms WHERE form IS NOT NULL
+  UNION ALL
+  SELECT ways.word, forms.form, step + 1 FROM ways JOIN forms ON ways.reached = forms.word WHERE forms.form IS NOT NULL
+), roots AS (
+  SELECT word, arg_max(reached, step) AS root FROM ways GROUP BY word
+)
+SELECT w.word, f.form, coalesce(r.root, w.word) AS root, w.n, coalesce(f.n_near, 0)::BIGINT AS n_near, f.form_n::DOUBLE AS form_n
+FROM words w LEFT JOIN forms f ON w.word = f.word LEFT JOIN roots r ON w.word = r.word
+"""
+
+
+OP11 = _spelling_sql()

@@ -92,4 +92,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op9_mixing": oracles.OP9, "op12_codes": oracles.OP12}
+    return {"op9_mixing": oracles.OP9, "op11_spelling": oracles.OP11, "op12_codes": oracles.OP12}

@@ -8,10 +8,12 @@ from html import unescape
 # Element names of HTML by how they are laid out.
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr picture source".split()
+    "span strike strong sub sup time tt u var wbr picture source object svg g text tspan math mrow mi mn mo ms mtext "
+    "msup msub msubsup mfrac msqrt mroot mover munder munderover mfenced mstyle mpadded mphantom mtable mtr mtd semantics "
+    "path circle rect line polyline polygon ellipse defs use symbol desc".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe object svg math canvas textarea title".split())
+RAW = set("script style template iframe textarea title annotation".split())
 CLOSES_P = set(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hr main menu nav ol p pre section table ul".split()
@@ -19,7 +21,7 @@ CLOSES_P = set(
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = {"ul", "ol", "dl", "table", "select"}
 
-# Words in class, id and role by what they name; the first kind that fits counts.
+# Words in class, id and role by what they name.
 NAMES = {
     "comment": "comment comments reply replies disqus discussion respond responses".split(),
     "ad": "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner dfp".split(),
@@ -33,7 +35,8 @@ NAMES = {
     "content": "article content contents post entry body main story text prose page blog hentry".split(),
 }
 _KIND_OF = {name: kind for kind, names in reversed(NAMES.items()) for name in names}
-_ORDER = {kind: n for n, kind in enumerate(NAMES)}
+#: Inline elements of these names stand for themselves; any other is part of the text around it.
+_APART = {"hidden", *(f"whole:{kind}" for kind in ("comment", "ad", "notice", "form", "side", "menu"))}
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*>?)", re.S
@@ -44,35 +47,44 @@ _LABEL = re.compile(r"data-label\s*=\s*\"(\w+)\"")
 _SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 _ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in RAW}
 
-_kinds: dict[str, str] = {}
+_names: dict[str, tuple[str, ...]] = {}
 
 
-def kind_of(attributes: str) -> str:
-    """What class, id and role say an element is; ``plain`` if nothing."""
-    if (found := _kinds.get(attributes)) is not None:
+def names_of(attributes: str) -> tuple[str, ...]:
+    """What class, id and role name, each name on its own.
+
+    ``whole:ad`` is a name that is the word itself, ``last:ad`` one that ends in
+    it (``text-ad``) and ``first:ad`` one that starts with it (``ad-free``), as
+    the last word of a compound says what a thing is and the first only of what kind.
+    """
+    if (found := _names.get(attributes)) is not None:
         return found
-    best = "hidden" if _HIDDEN.search(attributes) else None
-    for match in _NAMED.finditer(attributes) if best is None else ():
-        for word in _SPLIT.split(next((g for g in match.groups() if g is not None), "")):
-            kind = _KIND_OF.get(word.lower())
-            if kind and (best is None or _ORDER[kind] < _ORDER[best]):
-                best = kind
-    if len(_kinds) > 50_000:
-        _kinds.clear()
-    _kinds[attributes] = best or "plain"
-    return _kinds[attributes]
+    seen = {"hidden"} if _HIDDEN.search(attributes) else set()
+    for match in _NAMED.finditer(attributes):
+        for name in next((g for g in match.groups() if g is not None), "").split():
+            words = [w.lower() for w in _SPLIT.split(name) if w]
+            kinds = [_KIND_OF.get(w) for w in words]
+            if len(kinds) == 1:
+                seen.add(f"whole:{kinds[0]}")
+            elif kinds:
+                seen.add(f"last:{kinds[-1]}")
+                seen.update(f"first:{kind}" for kind in kinds[:-1])
+    if len(_names) > 50_000:
+        _names.clear()
+    _names[attributes] = tuple(sorted(n for n in seen if not n.endswith(":None")))
+    return _names[attributes]
 
 
 class Tree:
     """Nodes in page order, parents first. Node 0 is the document; text runs have the tag ``#text``."""
 
-    __slots__ = ("parent", "tag", "kind", "text", "size", "links", "label")
+    __slots__ = ("parent", "tag", "names", "text", "size", "links", "label")
 
     def __init__(self) -> None:
-        self.parent, self.tag, self.kind, self.text, self.size, self.links, self.label = [-1], ["#root"], ["plain"], [""], [0], [0], [""]
+        self.parent, self.tag, self.names, self.text, self.size, self.links, self.label = [-1], ["#root"], [()], [""], [0], [0], [""]
 
-    def _add(self, parent: int, tag: str, kind: str, text: str, size: int, links: int, label: str) -> int:
-        for column, value in zip((self.parent, self.tag, self.kind, self.text, self.size, self.links, self.label), (parent, tag, kind, text, size, links, label)):
+    def _add(self, parent: int, tag: str, names: tuple[str, ...], text: str, size: int, links: int, label: str) -> int:
+        for column, value in zip((self.parent, self.tag, self.names, self.text, self.size, self.links, self.label), (parent, tag, names, text, size, links, label)):
             column.append(value)
         return len(self.tag) - 1
 
@@ -88,7 +100,7 @@ def parse(html: str) -> Tree:
         if pieces:
             text = " ".join(unescape("".join(pieces)).split())
             if text:
-                tree._add(stack[-1], "#text", "plain", text, len(text), min(linked, len(text)), "")
+                tree._add(stack[-1], "#text", (), text, len(text), min(linked, len(text)), "")
             pieces.clear()
         linked = 0
 
@@ -123,7 +135,7 @@ def parse(html: str) -> Tree:
                 at = close.end() if close else end
             continue
         inline = name in INLINE
-        if inline and (closing or len(attributes) < 6 or kind_of(attributes) in ("plain", "content", "head", "social")):
+        if inline and (closing or len(attributes) < 6 or _APART.isdisjoint(names_of(attributes))):
             if closing and len(stack) > 1 and tree.tag[stack[-1]] == name:  # an inline element that counts as a block
                 flush()
                 stack.pop()
@@ -154,8 +166,8 @@ def parse(html: str) -> Tree:
                 if tag in SCOPE:
                     break
         label = m.group(1) if len(attributes) > 12 and (m := _LABEL.search(attributes)) else ""
-        kind = kind_of(attributes) if len(attributes) > 5 else "plain"
-        stack.append(tree._add(stack[-1], name, kind, "", 0, 0, label))
+        names = names_of(attributes) if len(attributes) > 5 else ()
+        stack.append(tree._add(stack[-1], name, names, "", 0, 0, label))
     flush()
     size, links, parent = tree.size, tree.links, tree.parent
     for n in range(len(size) - 1, 0, -1):

@@ -18,9 +18,9 @@ def test_marginals_are_those_of_all_states(model):
     page = '<body><nav class="menu"><a href=x>home</a></nav><article><h1>Title</h1><p>Some text here.</p><div class="ad">Buy</div></article></body>'
     tree = parse(page)
     judge, seen = H.Marginals(model), H.looks(tree)
-    root = (0.1, 0.1, 0.8)
+    root = H.ROOT
     total, inside = 0.0, [0.0] * len(seen)
-    options = [(0, 1) if look[0] == "t" else (0, 1, 2) for look in seen]
+    options = [(0, 1) if look[0] == "text" else (0, 1, 2) for look in seen]
     for states in itertools.product(*options):
         weight = root[states[0]]
         for n, s in enumerate(states):
@@ -33,18 +33,20 @@ def test_marginals_are_those_of_all_states(model):
             inside[n] += weight * (s == 1)
     got = judge.content(tree)
     for n, look in enumerate(seen):
-        if look[0] == "t":
+        if look[0] == "text":
             assert got[n] == pytest.approx(inside[n] / total, rel=1e-6)
 
 
 def test_held_out_labelled_pages(model):
-    judge, good = H.Marginals(model), 0
-    pages = H.labelled_pages(150, seed=1234)
+    """These pages conflict on purpose (an article named like an advert, a footer without a name), so a few stay undecidable."""
+    judge, good, wrong, chars = H.Marginals(model), 0, 0, 0
+    pages = H.labelled_pages(300, seed=1234)
     for page in pages:
         tree = parse(page)
-        states = H.true_states(tree)
-        good += H.main_text(page, judge) == "\n".join(t for t, s, tag in zip(tree.text, states, tree.tag) if tag == "#text" and s == 1)
-    assert good / len(pages) > 0.95
+        bad = [n for n, p in enumerate(judge.content(tree)) if p >= 0 and (p >= 0.5) != (H.true_states(tree)[n] == 1)]
+        good += not bad
+        wrong, chars = wrong + sum(tree.size[n] for n in bad), chars + tree.size[0]
+    assert good / len(pages) > 0.9 and wrong / chars < 0.01
 
 
 PAGE = """<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>T</title><style>p{margin:0}</style><script>var t="</p>";</script></head>
@@ -60,6 +62,38 @@ def test_given_layout_and_more(model):
     assert H.main_text(PAGE, H.Marginals(model)).split("\n") == ["Fish & chips", "First line of text.", "Second é <b> one.", "To.", "point one is here", "point two"]
 
 
+BODY = "<h1>Fish and chips</h1><p>A first paragraph with some words in it.</p><p>The second one goes on for a little.</p>"
+AROUND = ["%s", '<nav><ul><li><a href="/a">The</a></li><li><a href="/b">and</a></li></ul></nav><div class="ad">Buy it.</div>%s<footer>&copy; x &middot; words.</footer>']
+
+
+@pytest.mark.parametrize("name", ["post", "post ad-free", "search-history", "hero-story", "story top", "top-story", "post share", "banner-story", "contact-tracing", "social-history", "related-work"])
+def test_a_name_alone_does_not_empty_an_article(model, name):
+    judge = H.Marginals(model)
+    for around in AROUND:
+        assert H.main_text(around % f'<article class="{name}">{BODY}</article>', judge).split("\n") == ["Fish and chips", "A first paragraph with some words in it.", "The second one goes on for a little."]
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="xq3">Copyright 2020 All rights reserved</div>', '<div class="kd7"><p>We use cookies to make this site better.</p></div>',
+    '<div class="comment"><p>I like this very much, thanks a lot for it.</p></div>', '<div class="post-footer">Words of the foot.</div>',
+    '<section class="related-posts"><h3>More</h3><ul><li><a href="/x">One thing</a></li><li><a href="/y">And another</a></li></ul></section>',
+])
+def test_parts_around_an_article_go(model, part):
+    page = f"<body><article>{BODY}</article>{part}</body>"
+    assert H.main_text(page, H.Marginals(model)) == H.main_text(f"<body><article>{BODY}</article></body>", H.Marginals(model))
+
+
+def test_formulas_and_drawings_are_part_of_their_block(model):
+    page = '<article><h1>Of numbers</h1><p>We let <math><mi>x</mi></math> be one.</p><p>Then <svg><path d="M0"/><text>two</text></svg> and <object data=q>three</object> follow.</p></article>'
+    assert H.main_text(page, H.Marginals(model)) == "Of numbers\nWe let x be one.\nThen two and three follow."
+
+
+def test_exponents_are_fitted(model):
+    weights = model["weights"]
+    assert set(weights) == {f"{k}.{f}" for k, features in H.FEATURES.items() for f in features} and min(weights.values()) >= 0
+    assert len({round(w, 6) for w in weights.values()}) > 5
+
+
 ODD = ["", "plain words, no markup", "<p>unclosed", "</div></p>stray", "<<<>>><a", "<p class='x>broken quote</p><p>next</p>", "<script>never closed <p>x", "<!-- open", "<div>" * 3000 + "deep" + "</div>" * 3000, "<p>" + "long text. " * 40_000 + "</p>", "&#0;&#x110000;&bogus;&amp", "a < b and c > d"]
 
 

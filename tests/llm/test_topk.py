@@ -64,3 +64,23 @@ def test_pruning_compacts_and_keeps_the_best():
         exact = c.T @ q[:, n]
         order = np.lexsort((ids, -exact))[:5]
         assert cols.tolist() == order.tolist() and scores.astype(int).tolist() == exact[order].tolist()
+
+
+def test_floors_prune_and_lose_nothing():
+    rng = np.random.default_rng(5)
+    c = (rng.normal(size=(64, 4000)) * 32).astype(np.int64)
+    q, ids, none = c[:, :40], np.arange(4000), np.full(40, -1)
+    scores = c.T @ q
+    floors = [int(np.sort(scores[:, n])[-5]) for n in range(40)]
+    alone, shared = np.zeros(4, np.int64), np.zeros(4, np.int64)
+    free = topk.block_top(q, c, none, ids, 5, tally=alone)
+    held = topk.block_top(q, c, none, ids, 5, floors=floors, tally=shared)
+    assert all(a.tolist() == b.tolist() for (a, _), (b, _) in zip(free, held))
+    assert (shared <= alone).all() and shared[2] < alone[2]
+    above = topk.block_top(q, c, none, ids, 5, floors=[int(scores.max()) + 1] * 40)
+    assert all(len(cols) == 0 for cols, _ in above)
+
+
+def test_many_rounds_and_ties_at_the_floor(spark):
+    rows = [(i, [1.0, float(i % 3)]) for i in range(200, 0, -1)] + [(0, [1.0, 1.0]), (250, [0.0, 0.0])]
+    assert run(spark, rows, block_rows=2) == brute(rows)

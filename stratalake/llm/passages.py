@@ -1,11 +1,15 @@
 """Substring dedup by hashing of units: the earliest ranked occurrence stays.
 
-By default the units do not depend on the text around a passage. Every window of
-words of half the bound is hashed, and of as many neighbouring windows the one
-with the least hash is an anchor; so any ``min_run_words`` words that recur share
-an anchor, wherever they stand, and anchors of a longer run touch one another.
-At the ends of a run of repeated anchors the text is compared word by word with
-that around the earliest occurrence, and the bound holds for the extended run.
+By default two kinds of units are hashed in one pass. Lines come first: a line of
+``min_line_words`` words or more that stands earlier goes whole, whatever is around
+it. Shorter lines (greetings, notices, headings) recur without being copies and
+stay. What repeats inside lines or across their ends is found by units that do not
+depend on the text around a passage: every window of words of half the bound is
+hashed, and of as many neighbouring windows the one with the least hash is an
+anchor; so any ``min_run_words`` words that recur share an anchor, wherever they
+stand, and anchors of a longer run touch one another. At the ends of a run of
+repeated anchors the text is compared word by word with that around the earliest
+occurrence, and the bound holds for the extended run.
 
 Other units are a line, a paragraph or a sentence of a line. Sentences of under
 ``min_unit_words`` are joined to the next one of their line; long ones are cut at
@@ -13,14 +17,15 @@ commas. Their boundaries depend on the context, so a passage can lose its ends.
 
 Units are normalised (lower case, single blanks) and hashed. All units of the same
 digest are ranked by document id and place; every one but the first is a repeat.
-A single unit recurs by chance, so a repeat alone removes nothing: repeats that
-follow one another in a document form a run, and runs of at least
-``min_run_words`` words are removed. Start and end of each run are kept as
+A single unit other than a long line recurs by chance, so a repeat alone removes
+nothing: repeats that follow one another in a document form a run, and runs of at
+least ``min_run_words`` words are removed. Start and end of each run are kept as
 offsets (code points) in the original text.
 
 Digests are combined before the shuffle, and repeats are found by a join of two
 staged tables, where a digest that a third of all documents has is split over
-tasks. What is brought together by document are its own repeats.
+tasks. What is brought together by document are its own repeats, and rows that repeat
+id and text are combined before that.
 """
 
 from __future__ import annotations
@@ -161,25 +166,48 @@ def anchors(words: list[str], min_run_words: int = 25, known: dict[str, int] | N
     return places, digests[places].view(np.int64)
 
 
-def anchor_rows(docs: DataFrame, min_run_words: int) -> DataFrame:
-    """``(doc_id, doc_hash, unit, place, digest)``, one row per anchor; ``place`` counts words."""
+def line_units(text: str, min_line_words: int) -> tuple[list[str], list[tuple[int, int, int]]]:
+    """The words of a text in lower case, and ``(place, words, digest)`` of its lines of ``min_line_words`` or more."""
+    words, found = [], []
+    for line in text.lower().split("\n"):
+        held = line.split()
+        if len(held) >= min_line_words:
+            found.append((len(words), len(held), xxhash.xxh3_64_intdigest(" ".join(held), seed=1)))
+        words += held
+    return words, found
+
+
+def anchor_rows(docs: DataFrame, min_run_words: int, min_line_words: int) -> DataFrame:
+    """``(doc_id, doc_hash, unit, place, words, digest)``, one row per line and anchor.
+
+    ``place`` counts words. ``words`` is null for anchors; their units count up from 0,
+    those of lines down from -4, so that no line is the neighbour of a unit.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         for batch in slices(batches, "text", 2 << 20):
             if len(known) > 1 << 18:
                 known.clear()
-            found = [anchors((text or "").lower().split(), min_run_words, known) for text in batch.column("text").to_pylist()]
+            found, lines = [], []
+            for n, text in enumerate(batch.column("text").to_pylist()):
+                words, whole = line_units(text or "", min_line_words)
+                found.append(anchors(words, min_run_words, known))
+                lines += [(n, -4 * (k + 1), *line) for k, line in enumerate(whole)]
             counts = [len(p) for p, _ in found]
-            keys = batch.select(["doc_id", "doc_hash"]).take(pa.array(np.repeat(np.arange(len(found)), counts)))
-            unit = np.concatenate([np.arange(n) for n in counts])
-            columns = [pa.array(c, k) for c, k in ((unit, pa.int32()), (np.concatenate([p for p, _ in found]), pa.int32()), (np.concatenate([d for _, d in found]), pa.int64()))]
-            yield pa.record_batch([*keys.columns, *columns], ["doc_id", "doc_hash", "unit", "place", "digest"])
+            owner, line_unit, line_place, line_words, line_digest = zip(*lines) if lines else [()] * 5
+            keys = batch.select(["doc_id", "doc_hash"]).take(pa.array(np.concatenate([np.repeat(np.arange(len(found)), counts), np.array(owner, np.int64)])))
+            unit = np.concatenate([*(np.arange(n) for n in counts), np.array(line_unit, np.int64)])
+            place = np.concatenate([*(p for p, _ in found), np.array(line_place, np.int64)])
+            digest = np.concatenate([*(d for _, d in found), np.array(line_digest, np.uint64).view(np.int64)])
+            size = pa.concat_arrays([pa.nulls(sum(counts), pa.int32()), pa.array(line_words, pa.int32())])
+            columns = [pa.array(unit, pa.int32()), pa.array(place, pa.int32()), size, pa.array(digest, pa.int64())]
+            yield pa.record_batch([*keys.columns, *columns], ["doc_id", "doc_hash", "unit", "place", "words", "digest"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.col("text").cast("string")
     picked = docs.select("doc_id", F.xxhash64(text).alias("doc_hash"), text.alias("text"))
-    return picked.mapInArrow(run, f"doc_id {kind}, doc_hash long, unit int, place int, digest long")
+    return picked.mapInArrow(run, f"doc_id {kind}, doc_hash long, unit int, place int, words int, digest long")
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, min_run_words: int) -> DataFrame:
@@ -207,35 +235,49 @@ def _contexts(docs: DataFrame, wanted: DataFrame, min_run_words: int) -> DataFra
     return held.mapInArrow(run, "digest long, before array<string>, after array<string>").dropDuplicates(["digest"])
 
 
-def repeated_anchors(docs: DataFrame, min_run_words: int = 25) -> DataFrame:
-    """``(doc_id, doc_hash, found)``: places of the repeated anchors, with the words around the earliest occurrence at the ends of runs."""
-    rows = staged(anchor_rows(docs, min_run_words), "anchors")
+def repeated_anchors(docs: DataFrame, min_run_words: int = 25, min_line_words: int = 20) -> DataFrame:
+    """``(doc_id, doc_hash, found)``: places of the repeated lines and anchors, with the words around the earliest occurrence at the ends of runs of anchors."""
+    rows = staged(anchor_rows(docs, min_run_words, min_line_words), "anchors")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc_hash", "place")
     first = rows.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
     first = staged(first.filter("first < last").select("digest", "first"), "first")
-    repeats = rows.join(first, "digest").filter(rank != F.col("first"))
+    repeats = rows.join(first, "digest").filter(rank != F.col("first")).distinct()  # rows may repeat id and text
     by_doc = Window.partitionBy("doc_id", "doc_hash").orderBy("unit")
     # Two anchors at each end: the earliest occurrence of the last one may be a shorter passage elsewhere.
     ends = [F.count("*").over(by_doc.rangeBetween(n, n)) == 0 for n in (-2, -1, 1, 2)]
-    repeats = staged(repeats.withColumn("end", ends[0] | ends[1] | ends[2] | ends[3]), "repeats")
+    repeats = staged(repeats.withColumn("end", F.col("words").isNull() & (ends[0] | ends[1] | ends[2] | ends[3])), "repeats")
     wanted = repeats.filter("end").select("digest", "first").distinct()
     around = staged(_contexts(docs, wanted, min_run_words), "contexts")
-    kept = repeats.select("doc_id", "doc_hash", "place", F.col("first.doc_id").alias("first_doc_id"), F.when(F.col("end"), F.col("digest")).alias("digest"))
+    kept = repeats.select("doc_id", "doc_hash", "place", "words", F.col("first.doc_id").alias("first_doc_id"), F.when(F.col("end"), F.col("digest")).alias("digest"))
     inner = kept.filter("digest IS NULL").withColumn("before", F.lit(None).cast("array<string>")).withColumn("after", F.lit(None).cast("array<string>"))
     outer = kept.join(around, "digest")
-    each = outer.unionByName(inner).groupBy("doc_id", "doc_hash").agg(F.sort_array(F.collect_set(F.struct("place", "first_doc_id", "before", "after"))).alias("found"))
+    each = outer.unionByName(inner).groupBy("doc_id", "doc_hash").agg(F.sort_array(F.collect_set(F.struct("place", "words", "first_doc_id", "before", "after"))).alias("found"))
     result = staged(each, "found")
     release(rows, first, repeats, around)
     return result
 
 
+def _merged(pieces: list[tuple[int, int, list]]) -> list[tuple[int, int, list]]:
+    """Pieces that touch or overlap become one."""
+    runs: list[tuple[int, int, list]] = []
+    for low, high, sources in sorted(pieces, key=lambda p: p[:2]):
+        if runs and low <= runs[-1][1]:
+            runs[-1] = runs[-1][0], max(runs[-1][1], high), runs[-1][2] + sources
+        else:
+            runs.append((low, high, sources))
+    return runs
+
+
 def extended(text: str, found: list[dict], min_run_words: int) -> list[dict]:
-    """Runs of a text from its repeated anchors, sorted by place."""
+    """What goes of a text: its repeated lines, and the long runs of its repeated anchors."""
     size, _ = _sizes(min_run_words)
     at = [m.span() for m in _WORD.finditer(text)]
     words = text.lower().split()
-    pieces = []
+    lines, pieces = [], []
     for x in found:
+        if x["words"] is not None:
+            lines.append((x["place"], x["place"] + x["words"], [x["first_doc_id"]]))
+            continue
         low, high = x["place"], x["place"] + size
         for word in reversed(x["before"] or ()):
             if not low or words[low - 1] != word:
@@ -245,19 +287,12 @@ def extended(text: str, found: list[dict], min_run_words: int) -> list[dict]:
             if high == len(words) or words[high] != word:
                 break
             high += 1
-        pieces.append((low, high, x["first_doc_id"]))
-    pieces.sort(key=lambda p: p[:2])
-    runs: list[list] = []
-    for low, high, source in pieces:
-        if runs and low <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], high)
-            runs[-1][2].append(source)
-        else:
-            runs.append([low, high, [source]])
+        pieces.append((low, high, [x["first_doc_id"]]))
+    runs = [run for run in _merged(pieces) if run[1] - run[0] >= min_run_words]
     return [
         {"start": at[low][0], "end": at[high - 1][1], "n_units": len(sources), "n_words": high - low, "first_doc_id": min((s for s in sources if s is not None), default=None)}
-        for low, high, sources in runs if high - low >= min_run_words
-    ]
+        for low, high, sources in _merged(lines + runs)
+    ]
 
 
 def _cut(text: str, spans: list[dict]) -> str:
@@ -268,10 +303,11 @@ def _cut(text: str, spans: list[dict]) -> str:
     return "".join(kept) + text[at:]
 
 
-def drop_repeats(docs: DataFrame, unit: str = "window", min_unit_words: int = 3, min_run_words: int = 25) -> tuple[DataFrame, str]:
+def drop_repeats(docs: DataFrame, unit: str = "window", min_unit_words: int = 3, min_run_words: int = 25, min_line_words: int = 20) -> tuple[DataFrame, str]:
     """``docs`` with its repeats cut out of ``text``, and the name of the added column of spans.
 
-    ``unit`` is window, sentence, line or paragraph. All other columns stay as they are;
+    ``unit`` is window (lines of ``min_line_words`` and what repeats inside them),
+    sentence, line or paragraph. All other columns stay as they are;
     a text that loses nothing is unchanged and has null spans. Null and empty
     texts have no units. Rows that repeat both id and text are one document to
     the ranking and fare alike; of rows with the same id and other texts, or with
@@ -281,7 +317,7 @@ def drop_repeats(docs: DataFrame, unit: str = "window", min_unit_words: int = 3,
     """
     name = fresh_name(docs, "spans")
     if unit == "window":
-        spans = repeated_anchors(docs, min_run_words).withColumnRenamed("found", "spans")
+        spans = repeated_anchors(docs, min_run_words, min_line_words).withColumnRenamed("found", "spans")
     else:
         spans = repeated_spans(docs, unit, min_unit_words, min_run_words)
     by_id, by_hash = fresh_name(docs, "span_doc_id"), fresh_name(docs, "span_doc_hash")

@@ -53,3 +53,43 @@ def test_repeats_inside_a_text_and_odd_rows(spark):
     kept = {r.doc_id: r.text for r in got}
     assert len(got) == len(rows)
     assert kept == {1: f"{line}\n end", 2: None, 3: "", 4: " \n ", None: "", 5: "", 6: "x y  "}
+
+
+def slow_lines(rows, low):
+    """Texts without the lines of ``low`` words or more that stand earlier; all words differ otherwise."""
+    seen, kept = set(), {}
+    for doc_id, text in rows:
+        left = []
+        for line in text.split("\n"):
+            key = " ".join(line.lower().split())
+            repeat = len(key.split()) >= low and key in seen
+            seen.add(key)
+            left.append("" if repeat else line)
+        kept[doc_id] = "\n".join(left)
+    return kept
+
+
+@pytest.mark.parametrize("low", [20, 10, 1])
+def test_repeated_lines_go_whole(spark, low):
+    """Lines are decided by their digests alone: the earliest stays, whatever is around it."""
+    rng = random.Random(23)
+    common = [" ".join(f"c{n}x{i}" for i in range(n)) for n in (1, 2, 9, 10, 11, 19, 20, 21, 24)]
+    rows = []
+    for i in range(40):
+        lines = [rng.choice([str.upper, str.title, str.lower])(x) for x in rng.sample(common, 4)]
+        own = [" ".join(f"o{i}y{n}z{k}" for k in range(rng.randint(2, 30))) for n in range(5)]
+        rows.append((i, "\n".join(x for pair in zip(own, [*lines, own[0][::-1]]) for x in pair)))
+    got = deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), min_line_words=low).collect()
+    assert {r.doc_id: r.text for r in got} == slow_lines(rows, low)
+    assert all(r.removed_chars == sum(s.end - s.start for s in r.spans or ()) for r in got)
+
+
+def test_five_documents_with_a_common_line(spark):
+    line = " ".join(f"word{i}" for i in range(20))
+    rows = [(i, f"start of {i}\n  {line.title()}\t\nend of {i}") for i in range(5)]
+    got = {r.doc_id: r for r in deduplicated(spark.createDataFrame(rows * 3, "doc_id long, text string")).collect()}
+    assert sorted(i for i, r in got.items() if r.n_removed) == [1, 2, 3, 4]
+    for i in range(1, 5):
+        (span,) = got[i].spans
+        assert rows[i][1][span.start : span.end] == line.title() and span.first_doc_id == 0
+        assert got[i].text == f"start of {i}\n  \t\nend of {i}"

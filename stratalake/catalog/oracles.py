@@ -149,6 +149,14 @@ SELECT user_session, event_type, 'event_type_in_set' AS broken_rules FROM raw_ev
 
 BAR_TEXT_ROWS = f"{oracle_with('bars')} SELECT ticker AS symbol, {day('trade_date')} AS trade_date, open, high, low, close, volume FROM bars"
 
+LANDED = f"""{oracle_with("bars")}
+SELECT ticker AS symbol,
+       CASE WHEN ticker IN ('error', 'signup', 'click') THEN 'failed' ELSE 'passed' END AS status,
+       CASE ticker WHEN 'error' THEN 'no series' WHEN 'signup' THEN 'error message'
+                   WHEN 'click' THEN 'missing columns' END AS reason,
+       CAST(CASE WHEN ticker IN ('error', 'signup', 'click') THEN 0 ELSE count(*) END AS BIGINT) AS row_count
+FROM bars GROUP BY ticker"""
+
 DOCUMENT_KEY = "'{prefix}/city=' || replace(lower({city}), ' ', '_') || '/year=' || {year} || '/' || lpad(CAST({month} AS VARCHAR), 2, '0') || '.json'"
 
 
@@ -477,12 +485,12 @@ def statements() -> dict[str, str]:
             SELECT city, year, {day("observation_date")} AS observation_date, latitude FROM weather
             WHERE city IN ({ranked_cities()})""",
         "landed_bars": f"{BAR_TEXT_ROWS} WHERE ticker <> 'error'",
-        "landing_outcomes": f"""{oracle_with("bars")}
-            SELECT ticker AS symbol,
-                   CASE WHEN ticker IN ('error', 'signup', 'click') THEN 'failed' ELSE 'passed' END AS status,
-                   CASE ticker WHEN 'error' THEN 'no series' WHEN 'signup' THEN 'error message'
-                               WHEN 'click' THEN 'missing columns' END AS reason,
-                   CAST(CASE WHEN ticker IN ('error', 'signup', 'click') THEN 0 ELSE count(*) END AS BIGINT) AS row_count
+        "landing_outcomes": LANDED,
+        "landing_file_outcomes": LANDED,
+        "bars_empty_files": f"""{oracle_with("bars")}
+            SELECT ticker, CASE WHEN ticker IN ('error', 'view') THEN 'failed' ELSE 'passed' END AS status,
+                   CASE WHEN ticker IN ('error', 'view') THEN 'no rows' END AS reason,
+                   CAST(CASE WHEN ticker IN ('error', 'view') THEN 0 ELSE count(*) END AS BIGINT) AS row_count
             FROM bars GROUP BY ticker""",
         "bars_from_files": f"""{oracle_with("bars")}
             SELECT ticker, {day("trade_date")} AS trade_date, open AS open_price, close AS close_price,
@@ -493,6 +501,9 @@ def statements() -> dict[str, str]:
                    CASE ticker WHEN 'error' THEN 'close_not_null' END AS reason, CAST(count(*) AS BIGINT) AS row_count
             FROM bars WHERE ticker IN ('error', 'view', 'click') GROUP BY ticker""",
         "events_from_csv": STORED_EVENTS,
+        "events_by_source_file": f"""
+            SELECT CAST(substr(user_session, 2) AS BIGINT) % 7 AS delivery, CAST(count(*) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS misplaced
+            FROM ({STORED_EVENTS}) GROUP BY 1""",
         "streamed_events": STORED_EVENTS,
         "events_in_two_batches": STORED_EVENTS,
         "batch_then_stream": STORED_EVENTS,

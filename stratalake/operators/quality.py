@@ -27,7 +27,7 @@ class Rule:
 
 
 def _literal(value) -> str:
-    return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
 
 
 def not_null(column: str) -> Rule:

@@ -32,17 +32,40 @@ def _located(df: DataFrame, *columns: Column) -> DataFrame:
     )
 
 
-def csv_profiles(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
-    """``path, header, broken`` of the listed files that have a line.
+def _lines(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """``path, split, place, value`` of the lines of the listed files that are not blank."""
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], "path string, split long, place long, value string")
+    lines = _located(spark.read.option("recursiveFileLookup", "true").text(root), F.col("value"))
+    return lines.filter(F.trim("value") != "").join(files.select("path"), "path", "left_semi")
+
+
+def whole_texts(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """``path, value`` of the listed files, their lines put together again.
+
+    For formats that only mean something as a whole. Files that are not listed
+    are scanned line by line and never held.
+    """
+    line = F.struct("split", "place", "value")
+    gathered = _lines(spark, root, files).groupBy("path").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    return gathered.select("path", F.array_join("lines.value", "\n").alias("value"))
+
+
+def csv_profiles(spark: SparkSession, root: str, files: DataFrame, **marks: Column) -> DataFrame:
+    """``path, header, broken, lines`` of the listed files that have a line.
 
     ``header`` is the first line that is not blank, ``broken`` whether some line
     holds an odd number of quotes, which is so where a quoted cell goes on in the
-    next line. Reduced before the shuffle to a row per file and task.
+    next line, ``lines`` how many are not blank. ``marks`` are conditions on
+    ``value``, true for a file if true for a line. Reduced before the shuffle to a
+    row per file and task.
     """
-    lines = _located(spark.read.option("recursiveFileLookup", "true").text(root), F.col("value"))
-    chosen = lines.filter(F.trim("value") != "").join(files.select("path"), "path", "left_semi")
+    chosen = _lines(spark, root, files)
     odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
-    found = chosen.groupBy("path").agg(F.min_by("value", F.struct("split", "place")).alias("header"), F.max(odd).alias("broken"))
+    found = chosen.groupBy("path").agg(
+        F.min_by("value", F.struct("split", "place")).alias("header"), F.max(odd).alias("broken"), F.count("*").alias("lines"),
+        *[F.max(mark).alias(name) for name, mark in marks.items()],
+    )
     return found.withColumn("header", F.regexp_replace("header", "^﻿", ""))
 
 
@@ -54,19 +77,17 @@ def _scan(spark: SparkSession, root: str, width: int, broken: bool) -> DataFrame
     return _located(reader.csv(root), F.array(*schema.fieldNames()).alias("cells"))
 
 
-def read_delimited(spark: SparkSession, root: str, files: DataFrame, key: str, by_header: Sequence[Column] = ()) -> DataFrame:
+def read_delimited(spark: SparkSession, root: str, files: DataFrame, key: str, by_header: Sequence[Column] = (), profiles: DataFrame | None = None) -> DataFrame:
     """``key, path, split, place, cells`` of the listed files, a row per record.
 
     ``files`` has ``key`` and plain ``path``. ``split`` and ``place`` give the order
     of the records in their file. ``by_header`` adds columns made from ``header``,
-    the text of a file's header line, once per file. Files that are empty or have
-    only a header give no rows.
+    the text of a file's header line, once per file. ``profiles`` are those of
+    ``csv_profiles``, if known. Files that are empty or have only a header give no rows.
     """
     listed = staged(files.select(key, "path"), "files")
-    if path_exists(spark, root):
+    if profiles is None:
         profiles = csv_profiles(spark, root, listed)
-    else:
-        profiles = spark.createDataFrame([], "path string, header string, broken boolean")
     profiles = staged(listed.join(profiles, "path").select(key, "path", "header", "broken", *by_header), "profiles")
     # One small row to the driver: the widest header, and which kinds of files there are.
     width, plain, broken = profiles.agg(F.max(F.size(csv_cells(F.col("header")))), F.count_if(~F.col("broken")), F.count_if("broken")).first()

@@ -10,7 +10,7 @@ from stratalake.operators.nesting import payload_bars, text_lines
 from stratalake.operators.order import order_report
 from stratalake.plans import bars as plan
 from stratalake.plans import landing
-from stratalake.sources.delimited import read_delimited
+from stratalake.sources.delimited import read_delimited, whole_texts
 from stratalake.sources.files import list_files
 from stratalake.sources.manifest import disagreements, landed_files, record_landing
 from tests.test_bars import GOOD, HEADER, drop, outcomes
@@ -94,6 +94,37 @@ def test_a_very_long_quoted_cell(spark):
     assert landing.typed_bars(payload_bars(df)).first().volume == 700
 
 
+def test_payload_files_of_all_kinds(spark, tmp_path, small_splits):
+    """CSV payloads are read in splits, JSON ones as a whole; a symbol may come in several files."""
+    days = [(dt.date(2020, 1, 1) + dt.timedelta(n)).isoformat() for n in range(700)]
+    entry = lambda day: f'"{day}": {{"1. open": "1.5", "2. high": "2", "3. low": "1", "4. close": "1.5", "5. volume": "9"}}'
+    pretty = '{"Time Series (Daily)": {\n  ' + ",\n  ".join(map(entry, days[:300])) + "\n}}"
+    long = "\n".join([HEADER, *(f"{day},1,2,1,1.5,{n}" for n, day in enumerate(days))])
+    files = {
+        ("LONG", "a"): long, ("JSON", "a"): pretty, ("BROKEN", "a"): pretty[:-9], ("NONE", "a"): "", ("BLANK", "a"): "\n \r\n",
+        ("HEAD", "a"): f"\n{HEADER}\n\n", ("MORE", "a"): f"{HEADER},dividend\n{GOOD},1", ("LESS", "a"): "a,b\n1,2", ("ERROR", "a"): f"{HEADER}\nInvalid API Key",
+        ("QUOTED", "a"): f'volume,close,low,high,open,timestamp\r\n"7\n",52.0,48.0,55.0,50.0,"2024-01-01"\r\n', ("BOTH", "a"): f"{HEADER}\n{GOOD}", ("BOTH", "b"): pretty,
+        ("SPOILED", "a"): f"{HEADER}\n{GOOD}", ("SPOILED", "b"): "Invalid API call",
+    }
+    for (symbol, name), text in files.items():
+        (tmp_path / "in" / symbol).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / symbol / name).write_bytes(text.encode())
+    root = str(tmp_path / "in")
+    result = landing.land_payloads(spark, root, str(tmp_path / "out"), "20240101_000000")
+    assert {r.symbol: (r.status, r.reason, r.row_count) for r in result.outcomes.collect()} == {
+        "LONG": ("passed", None, 700), "JSON": ("passed", None, 300), "BROKEN": ("failed", "missing columns", 0), "NONE": ("failed", "empty", 0),
+        "BLANK": ("failed", "empty", 0), "HEAD": ("failed", "too short", 0), "MORE": ("failed", "unexpected columns", 0), "LESS": ("failed", "missing columns", 0),
+        "ERROR": ("failed", "error message", 0), "QUOTED": ("passed", None, 1), "BOTH": ("passed", None, 301), "SPOILED": ("failed", "error message", 1),
+    }
+    assert {r.symbol: r["count"] for r in result.bars.groupBy("symbol").count().collect()} == {"LONG": 700, "JSON": 300, "QUOTED": 1, "BOTH": 301}
+    assert result.bars.filter("symbol = 'LONG'").agg(F.sum(F.col("volume").cast("long"))).first()[0] == sum(range(700))
+    listed = list_files(spark, root).filter("path LIKE '%/LONG/%' OR path LIKE '%/JSON/%'").selectExpr("path", "CASE WHEN path LIKE '%LONG%' THEN 'LONG' ELSE 'JSON' END AS symbol")
+    records = read_delimited(spark, root, listed.filter("symbol = 'LONG'"), "symbol")
+    assert records.select("split").distinct().count() > 5
+    assert {r.value for r in whole_texts(spark, root, listed).collect()} == {long, pretty}
+    assert landing.land_payloads(spark, str(tmp_path / "no"), str(tmp_path / "out2"), "20240101_000000").outcomes.count() == 0
+
+
 def test_manifest_follows_landings(spark, tmp_path):
     for symbol in ("IBM", "A%B"):
         (tmp_path / "in" / symbol).mkdir(parents=True)

@@ -208,6 +208,8 @@ def test_check_of_no_rows(spark, sample):
 def test_rule_on_quoted_text(spark):
     df = spark.createDataFrame([("it's",), ("b",)], "t string")
     assert quality.check(df, [one_of("t", ["it's"])]).violations == {"t_in_set": 1}
+    odd = spark.createDataFrame([("a\\",), ("\\'b",), ("c\\n",), ("d",)], "t string")
+    assert quality.check(odd, [one_of("t", ["a\\", "\\'b", "c\\n"])]).violations == {"t_in_set": 1}
 
 
 def test_bar_sanity(spark):

@@ -31,10 +31,11 @@ id and text are combined before that.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -134,35 +135,58 @@ def repeated_spans(docs: DataFrame, unit: str = "sentence", min_unit_words: int
     return result
 
 
-_WORD = re.compile(r"\S+")
-
-
 def _sizes(min_run_words: int) -> tuple[int, int]:
     """Words of a window, and windows of which one is an anchor: together they span the bound."""
     return (min_run_words + 1) // 2, min_run_words + 1 - (min_run_words + 1) // 2
 
 
+class _WordHashes(dict):
+    """Hashes of words, each computed once."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+_FACTOR = 0x9E3779B97F4A7C15
+
+
+def _window_sums(each: np.ndarray, size: int) -> np.ndarray:
+    """Polynomials of ``size`` neighbours, modulo 2^64, from those of 1, 2, 4 … neighbours."""
+    power, width, done, total = each, 1, 0, np.zeros(len(each) - size + 1, np.uint64)
+    while True:
+        if size & width:  # the next ``width`` neighbours, after those done
+            total = total * np.uint64(pow(_FACTOR, width, 1 << 64)) + power[done : done + len(total)]
+            done += width
+        if done == size:
+            return total
+        power = power[:-width] * np.uint64(pow(_FACTOR, width, 1 << 64)) + power[width:]
+        width *= 2
+
+
+def _least_places(values: np.ndarray, among: int) -> np.ndarray:
+    """Where the least of ``among`` neighbours stands, the first of equal ones, for every start."""
+    at, width = np.arange(len(values)), 1
+    while width < among:
+        step = min(width, among - width)  # windows may overlap
+        right = values[step:] < values[: len(values) - step]
+        at = np.where(right, at[step:], at[: len(at) - step])
+        values = np.where(right, values[step:], values[: len(values) - step])
+        width += step
+    return at
+
+
 def anchors(words: list[str], min_run_words: int = 25, known: dict[str, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Places and digests of the anchors among lower-case words; ``known`` has hashes of words."""
     size, among = _sizes(min_run_words)
     if len(words) < min_run_words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    known = {} if known is None else known
-    for word in words:
-        if word not in known:
-            known[word] = xxhash.xxh3_64_intdigest(word)
-    each = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    total = len(words) - size + 1
-    digests = np.zeros(total, np.uint64)
-    for n in range(size):
-        digests = digests * np.uint64(0x9E3779B97F4A7C15) + each[n : n + total]
+    known = _WordHashes() if known is None else known
+    digests = _window_sums(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), size)
     digests = (digests ^ digests >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
     digests ^= digests >> np.uint64(32)
-    at = np.arange(total - among + 1)
-    best = at.copy()
-    for step in range(1, among):
-        best = np.where(digests[at + step] < digests[best], at + step, best)
-    places = np.unique(best)
+    best = _least_places(digests, among)
+    places = best[np.concatenate([[True], best[1:] != best[:-1]])]  # they never go back
     return places, digests[places].view(np.int64)
 
 
@@ -185,7 +209,7 @@ def anchor_rows(docs: DataFrame, min_run_words: int, min_line_words: int) -> Dat
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+        known = _WordHashes()
         for batch in slices(batches, "text", 2 << 20):
             if len(known) > 1 << 18:
                 known.clear()
@@ -268,33 +292,64 @@ def _merged(pieces: list[tuple[int, int, list]]) -> list[tuple[int, int, list]]:
     return runs
 
 
-def extended(text: str, found: list[dict], min_run_words: int) -> list[dict]:
-    """What goes of a text: its repeated lines, and the long runs of its repeated anchors."""
+def _word_starts(text: str, places: list[int]) -> dict[int, int]:
+    """Where the words of these places (rising) start in a text."""
+    starts, rest, done = {}, text, 0
+    for place in places:
+        rest = rest.split(None, place - done)[-1] if place > done else rest.lstrip()
+        done, starts[place] = place, len(text) - len(rest)
+    return starts
+
+
+def extended(text: str, found: Iterable[tuple], min_run_words: int) -> list[dict]:
+    """What goes of a text: its repeated lines, and the long runs of its repeated anchors.
+
+    ``found`` has ``(place, words, first_doc_id, before, after)``.
+    """
     size, _ = _sizes(min_run_words)
-    at = [m.span() for m in _WORD.finditer(text)]
     words = text.lower().split()
     lines, pieces = [], []
-    for x in found:
-        if x["words"] is not None:
-            lines.append((x["place"], x["place"] + x["words"], [x["first_doc_id"]]))
+    for place, line_words, source, before, after in found:
+        if line_words is not None:
+            lines.append((place, place + line_words, [source]))
             continue
-        low, high = x["place"], x["place"] + size
-        for word in reversed(x["before"] or ()):
+        low, high = place, place + size
+        for word in reversed(before or ()):
             if not low or words[low - 1] != word:
                 break
             low -= 1
-        for word in x["after"] or ():
+        for word in after or ():
             if high == len(words) or words[high] != word:
                 break
             high += 1
-        pieces.append((low, high, [x["first_doc_id"]]))
-    runs = [run for run in _merged(pieces) if run[1] - run[0] >= min_run_words]
+        pieces.append((low, high, [source]))
+    runs = _merged(lines + [run for run in _merged(pieces) if run[1] - run[0] >= min_run_words])
+    if not runs:
+        return []
+    own = text.split()
+    starts = _word_starts(text, sorted({place for low, high, _ in runs for place in (low, high - 1)}))
     return [
-        {"start": at[low][0], "end": at[high - 1][1], "n_units": len(sources), "n_words": high - low, "first_doc_id": min((s for s in sources if s is not None), default=None)}
-        for low, high, sources in _merged(lines + runs)
+        {"start": starts[low], "end": starts[high - 1] + len(own[high - 1]), "n_units": len(sources), "n_words": high - low, "first_doc_id": min((s for s in sources if s is not None), default=None)}
+        for low, high, sources in runs
     ]
 
 
+def _sparse(column: pa.Array) -> list:
+    """The values of a column that is mostly null."""
+    values = [None] * len(column)
+    for place, value in zip(np.flatnonzero(column.is_valid()).tolist(), column.drop_null().to_pylist()):
+        values[place] = value
+    return values
+
+
+def _runs_of(texts: list[str], found: pa.ListArray, min_run_words: int) -> list[list[dict]]:
+    """The runs of texts from the lists of their repeated units."""
+    ends = np.cumsum(pc.list_value_length(found).to_numpy(zero_copy_only=False)).tolist()
+    place, words, source, before, after = found.flatten().flatten()
+    rows = list(zip(place.to_pylist(), _sparse(words), source.to_pylist(), _sparse(before), _sparse(after)))
+    return [extended(text, rows[low:high], min_run_words) for text, low, high in zip(texts, [0, *ends], ends)]
+
+
 def _cut(text: str, spans: list[dict]) -> str:
     kept, at = [], 0
     for span in spans:
@@ -332,16 +387,22 @@ def drop_repeats(docs: DataFrame, unit: str = "window", min_unit_words: int = 3,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = batch.column(name)
-            if found.null_count < batch.num_rows:
-                texts, runs = batch.column("text").to_pylist(), found.to_pylist()
-                if unit == "window":
-                    runs = [extended(t, s, min_run_words) or None if s else None for t, s in zip(texts, runs)]
-                texts = [_cut(t, s) if s else t for t, s in zip(texts, runs)]
-                batch = batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
-            else:
-                runs = [None] * batch.num_rows
-            yield batch.set_column(last, pa.field(name, arrow), pa.array(runs, arrow))
+            some = batch.column(name).is_valid()
+            column, spans = batch.column("text"), pa.nulls(batch.num_rows, arrow)
+            texts, found = column.filter(some).to_pylist(), batch.column(name).filter(some)
+            if texts:
+                runs = _runs_of(texts, found, min_run_words) if unit == "window" else found.to_pylist()
+                at = [n for n, r in zip(np.flatnonzero(some).tolist(), runs) if r]
+                held = [(t, r) for t, r in zip(texts, runs) if r]
+                mask = np.zeros(batch.num_rows, bool)
+                mask[at] = True
+                column = pc.replace_with_mask(column, pa.array(mask), pa.array([_cut(t, r) for t, r in held], column.type))
+                # Each row takes its list, all others a null after the last list.
+                order = np.full(batch.num_rows, len(held))
+                order[at] = np.arange(len(held))
+                spans = pa.array([*(r for _, r in held), None], arrow).take(pa.array(order))
+            batch = batch.set_column(place, batch.schema.field(place), column)
+            yield batch.set_column(last, pa.field(name, arrow), spans)
 
     schema = T.StructType([T.StructField(f.name, spans_type if f.name == name else f.dataType, True) for f in joined.schema.fields])
     return joined.mapInArrow(run, schema), name

@@ -20,7 +20,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one of the smallest id."""
+    """One document of each near-duplicate group stays: the one of the smallest id.
+
+    Groups of fingerprints come first and are checked, similar texts beyond their radius are added.
+    """
     return neardup.keep_first(docs)
 
 

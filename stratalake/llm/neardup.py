@@ -1,9 +1,15 @@
-"""Near-duplicates by similarity: texts whose sets of five-word shingles have a Jaccard of 0.8 or more.
+"""Near-duplicates: SimHash groups, checked by a Jaccard of 0.8 or more over sets of five-word shingles.
 
-**Candidates** come from MinHash bands: a set has ``BANDS`` keys of ``ROWS``
-minima each, and two sets of Jaccard j share a key of one band with probability
-``j ** ROWS``. At 0.8 all 40 bands miss a pair once in eight million; wider
-similarity misses less. Equal sets are one set before that.
+**SimHash** comes first: the operator of :mod:`stratalake.llm.simhash`, fingerprints
+and covering tables, says which texts belong together. Every set of such a group is
+compared with one of the group, so a group costs as many comparisons as it has sets.
+
+**Beyond the radius** most texts that are 0.8 alike differ in more bits, and covering
+tables of a radius that reaches them all would be thousands. Texts that the
+fingerprints have not joined meet in MinHash bands: a set has ``BANDS`` keys of
+``ROWS`` minima each, and two sets of Jaccard j share a key of one band with
+probability ``j ** ROWS``. At 0.8 all 40 bands miss a pair once in eight million;
+wider similarity misses less. Equal sets are one set before that.
 
 **Verification** is exact: every link is a pair whose shingle sets were compared.
 
@@ -15,7 +21,8 @@ aggregate over the shingles of texts that share a bucket.
 
 **Buckets** are not looked at pair by pair. First every member is compared with one
 pivot of its bucket, the member with the largest share of shared shingles: the text
-the others were made from, if it is there. That joins a group of copies, however
+the others were made from, if it is there; what the fingerprints joined with the pivot
+is passed over. That joins a group of copies, however
 large, in as many comparisons as it has members. What is left of a bucket with
 several groups is bounded again, by shingles that other groups have, and only
 members of different groups that still pass are compared, each pair once for its
@@ -35,6 +42,7 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.common import byte_rows, fresh_name, release, slices, staged
 from stratalake.llm.components import components
+from stratalake.llm.simhash import near_duplicates
 
 BANDS, ROWS = 40, 5
 _BLOCK = 1 << 12
@@ -127,6 +135,16 @@ def _shared_with_others(sets: DataFrame, roots: DataFrame) -> DataFrame:
     return counted
 
 
+def _alike(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(a, b)``: each set of a SimHash group with the smallest one of its group."""
+    found = near_duplicates(docs, id_col="uid").select("uid", F.col("component_id").alias("part"))
+    held = staged(found.join(rows.select("uid", "sid"), "uid").select("part", "sid").distinct(), "parts")
+    least = held.groupBy("part").agg(F.min("sid").alias("a"), F.max("sid").alias("most")).filter("a < most").select("part", "a")
+    pairs = staged(held.join(staged(least, "least"), "part").filter("sid != a").select("a", F.col("sid").alias("b")).distinct(), "alike")
+    release(held)
+    return pairs
+
+
 def groups(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
     """``(uid, root)`` of ``(uid, text)``: rows of the same root are connected by near-duplicates.
 
@@ -138,16 +156,21 @@ def groups(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
     bands = keys.select("sid", F.explode("keys").alias("key"))
     shared = staged(bands.groupBy("key").agg(F.min("sid").alias("least"), F.max("sid").alias("most")).filter("least < most").select("key"), "buckets")
     members = staged(bands.join(shared, "key"), "members")
-    wanted = staged(members.select("sid").distinct().join(keys.select("sid", "uid"), "sid"), "wanted")
+    alike = _alike(docs, rows)
+    met = members.select("sid").unionByName(alike.select(F.explode(F.array("a", "b")).alias("sid")))
+    wanted = staged(met.distinct().join(keys.select("sid", "uid"), "sid"), "wanted")
     sets = staged(_sets(docs.join(wanted.hint("merge"), "uid"), size), "sets")  # the same plan at every size
     alive = staged(_shared(sets).filter(F.col("s") * 100 >= F.col("n") * percent), "alive")
-    held = staged(members.join(alive, "sid"), "held")
+    printed = staged(_verified(alike, sets, percent), "printed")
+    joined = components(printed, "a", "b").select(F.col("node").alias("sid"), F.col("root").alias("group"))
+    held = staged(members.join(alive, "sid").join(joined, "sid", "left").withColumn("group", F.coalesce("group", "sid")), "held")
 
     share = F.floor(F.col("s") * 1_000_000 / F.col("n"))
-    pivots = held.groupBy("key").agg(F.max(F.struct(share.alias("share"), "n", "sid", "s")).alias("p")).select("key", F.col("p.sid").alias("pivot"), F.col("p.n").alias("m"), F.col("p.s").alias("t"))
-    met = held.join(staged(pivots, "pivots"), "key").filter((F.col("sid") != F.col("pivot")) & _reach("n", "m", "s", "t", percent))
+    pivots = held.groupBy("key").agg(F.max(F.struct(share.alias("share"), "n", "sid", "s", "group")).alias("p"))
+    pivots = pivots.select("key", F.col("p.sid").alias("pivot"), F.col("p.n").alias("m"), F.col("p.s").alias("t"), F.col("p.group").alias("other"))
+    met = held.join(staged(pivots, "pivots"), "key").filter((F.col("group") != F.col("other")) & _reach("n", "m", "s", "t", percent))
     first = met.select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct()
-    linked = staged(_verified(first, sets, percent), "links")
+    linked = staged(_verified(first, sets, percent).unionByName(printed), "links")
     roots = components(linked, "a", "b")
 
     placed = held.join(roots, held["sid"] == roots["node"], "left").select("key", "sid", "n", F.coalesce("root", "sid").alias("root"))
@@ -164,7 +187,7 @@ def groups(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
     all_roots = components(linked.unionByName(more), "a", "b")
     result = rows.select("uid", "sid").join(all_roots, F.col("sid") == F.col("node"), "left").select("uid", F.coalesce("root", "sid").alias("root"))
     result = staged(result, "groups")
-    release(rows, keys, shared, members, wanted, sets, alive, held, linked, roots, placed, apart, crossing, left, more, all_roots)
+    release(rows, keys, shared, members, alike, wanted, sets, alive, printed, held, linked, roots, placed, apart, crossing, left, more, all_roots)
     return result
 
 

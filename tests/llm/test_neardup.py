@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("public_tokenizers")
 
@@ -104,5 +105,21 @@ def test_copy_far_from_the_radius_goes(spark):
     assert [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()] == [1]
 
 
+def test_fingerprints_find_copies_without_bands(spark, monkeypatch):
+    """SimHash groups are candidates of their own, and only what is 0.8 alike in them goes."""
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    near = " ".join([*words[:200], "other", *words[201:]])
+    small = [f"v{rng.randrange(10**6)}" for _ in range(4)]
+    unlike = ["x", "y", "z"] * 60, ["x", "y", "z"] * 60 + ["x", "y"] * 3  # one print, other shingles at the end
+    rows = [(5, " ".join(words)), (6, near), (7, near.upper()), (8, " ".join(small)), (9, " ".join(unlike[0])), (10, " ".join(unlike[1])), (11, "")]
+    prints = {i: fingerprint(t.encode(), 3) for i, t in rows}
+    assert all((prints[i] ^ prints[j]).bit_count() <= 2 for i, j in ((5, 6), (9, 10)))
+    whole = neardup._prints
+    monkeypatch.setattr(neardup, "_prints", lambda docs, size: whole(docs, size).withColumn("keys", F.array().cast("array<bigint>")))
+    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [10, 11, 5, 8, 9] == slow_kept(rows)
+
+
 def test_no_rows(spark):
     assert neardup.keep_first(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -7,6 +7,7 @@ that results print alike in every engine.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -966,15 +967,16 @@ def events_any_batching(spark, sf_dir):
     """The same rows, a tenth of them twice, in 1, 2 and 5 files, every file published twice."""
     ev = roles.events(spark, sf_dir)
     doubled = ev.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("k") % 10 == 0, 2).otherwise(1))))
-    silver = staged(event_plan.standardize_events(roles.raw_events(doubled), RUN, F.lit("")), "silver")
+    events = event_plan.standardize_events(roles.raw_events(doubled), RUN, F.lit(""))
     number = F.substring("user_session", 2, 20).cast("bigint")
+    silver = staged(events.withColumn("slot", number % math.lcm(*BATCHINGS)), "silver", by=["slot"])
     tables = []
     for n in BATCHINGS:
         target = scratch_path(spark, "silver-events")
         for part in [*range(n), *range(n)]:
-            batch = silver.filter(number % n == part).withColumn("source_file", F.lit(f"part-{part}"))
+            batch = silver.filter(F.col("slot") % n == part).drop("slot").withColumn("source_file", F.lit(f"part-{part}"))
             event_plan.publish_events(batch, target)
-        tables.append(sources.read_table(spark, target, schema=silver.schema).withColumn("batches", F.lit(n)))
+        tables.append(sources.read_table(spark, target, schema=events.schema).withColumn("batches", F.lit(n)))
     stored = tables[0].unionByName(tables[1]).unionByName(tables[2])
     cents = F.sum(F.rint(F.col("price") * 100).cast("bigint"))
     return stored.groupBy("batches", "year_month", "event_type").agg(F.count(F.lit(1)).alias("row_count"), cents.alias("cents"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,14 +63,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Write a frame once into the shared folder and go on from that copy.
 
     The planner then knows its size in bytes, so a join broadcasts it only if it
-    is small, and a lost executor costs a re-read.
+    is small, and a lost executor costs a re-read. ``by`` names columns of few
+    values that parts of the frame are picked by: they become folders, so that each
+    part is read alone.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, DataType, IntegralType, StringType
 
 from ..session import path_exists, staged
 
@@ -85,14 +86,26 @@ def _equal(names: Sequence[str], other: str) -> list:
     return [F.col(c).eqNullSafe(F.col(f"{other}{c}")) for c in names]
 
 
+def _has_digest(kind: DataType) -> bool:
+    """Whether :func:`_digest` tells values of a type apart as a grouping does: plain values, no collations."""
+    return isinstance(kind, AtomicType) and kind.typeName() != "variant" and (not isinstance(kind, StringType) or kind == StringType())
+
+
+def _digest(columns: Sequence[str], names: Sequence[str]) -> list:
+    """Two longs of plain columns, equal for rows that a grouping holds equal. Hashes skip nulls, so those are hashed apart."""
+    values = [*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns]]
+    return [F.xxhash64(F.lit(seed), *values).alias(name) for seed, name in enumerate(names)]
+
+
 def _surplus(
     df: DataFrame, path: str, partitions: Sequence[str], batch: Sequence[str], run_columns: Sequence[str], fmt: str
 ) -> DataFrame:
     """``df`` less the rows that the table holds from the same deliveries, by number of occurrences.
 
     A delivery new to a partition is found by names alone and its rows are not
-    shuffled. Rows of a known one are counted against the stored ones by one
-    aggregate that combines first, so a row repeated very often is no hot key.
+    shuffled. Rows of a known one are counted against the stored ones by digests of
+    128 bits, in one aggregate that combines first, so a row repeated very often is no
+    hot key. Whole rows are only shuffled where some are missing.
     """
     spark = df.sparkSession
     if not path_exists(spark, path):
@@ -101,23 +114,35 @@ def _surplus(
     stored = (reader if fmt == "delta" else reader.schema(df.schema)).load(path)
     place = list(dict.fromkeys([*partitions, *batch]))
     here = staged(df.select(*place).distinct(), "deliveries")
-    ends = here.agg(*[end(c) for c in partitions for end in (F.min, F.max)]).first()
-    for c, low, high in zip(partitions, ends[::2], ends[1::2]):  # constants prune the folders that are read
+    # Constants prune the folders and row groups that are read. Moments could change on their way through Python.
+    bounded = [c for c in place if c in partitions or isinstance(df.schema[c].dataType, (StringType, IntegralType))]
+    ends = here.agg(*[end(c) for c in bounded for end in (F.min, F.max)]).first()
+    for c, low, high in zip(bounded, ends[::2], ends[1::2]):
         stored = stored.filter(F.col(c).isNull() if low is None else F.col(c).isNull() | F.col(c).between(low, high))
     other = here.withColumnsRenamed({c: f"held_{c}" for c in place})
     known = staged(stored.select(*place).join(other, _equal(place, "held_"), "left_semi").distinct(), "known-deliveries")
     if known.isEmpty():
         return df
     known = known.withColumnsRenamed({c: f"held_{c}" for c in place})
+    only_known = here.join(known, _equal(place, "held_"), "left_anti").isEmpty()
     again, held = (frame.join(known, _equal(place, "held_"), "left_semi") for frame in (df, stored))
     content = [c for c in df.columns if c not in run_columns]
     copies = next(n for n in ("copies", "copies_", "copies__") if n not in df.columns)
+    if all(_has_digest(df.schema[c].dataType) for c in content):
+        marks = [next(n for n in (m, f"{m}_", f"{m}__") if n not in df.columns) for m in ("mark_1", "mark_2")]
+        held = held.withColumns({c: F.col(c).cast(df.schema[c].dataType) for c in content})
+        balance = again.select(*_digest(content, marks), F.lit(1).alias(copies)).unionAll(held.select(*_digest(content, marks), F.lit(-1).alias(copies)))
+        short = staged(balance.groupBy(*marks).agg(F.sum(copies).alias(copies)).filter(F.col(copies) > 0).select(*marks), "short")
+        if short.isEmpty():
+            return df.filter(F.lit(False)) if only_known else df.join(known, _equal(place, "held_"), "left_anti")
+        again, held = (frame.select("*", *_digest(content, marks)).join(short, marks, "left_semi").drop(*marks) for frame in (again, held))
     counted = again.withColumn(copies, F.lit(1)).unionByName(
         held.select(*content, F.lit(-1).alias(copies)), allowMissingColumns=True
     )
     missing = counted.groupBy(*content).agg(F.sum(copies).alias(copies), *[F.max(c).alias(c) for c in run_columns])
     each = missing.filter(F.col(copies) > 0).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
-    return df.join(known, _equal(place, "held_"), "left_anti").unionByName(each.select(*df.columns))
+    each = each.select(*df.columns)
+    return each if only_known else df.join(known, _equal(place, "held_"), "left_anti").unionByName(each)
 
 
 def overwrite_table(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.llm import mixing, neardup, packing, passages, quality
-from stratalake.llm.common import staged, table
+from stratalake.llm.common import release, staged, table
 from stratalake.llm.queries import tokenizer_path
 
 
@@ -24,7 +24,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Groups of fingerprints come first and are checked, similar texts beyond their radius are added.
     """
-    return neardup.keep_first(docs)
+    return neardup.keep_first(docs, reread=True)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,5 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        before, docs = docs, staged(stage(spark, docs, sf_dir), name)
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)

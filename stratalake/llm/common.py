@@ -14,17 +14,31 @@ from pyspark.sql import functions as F
 from stratalake.session import scratch_path
 
 
+#: Shuffle files go when the execution that made them ends (Spark 4.1; older versions ignore it).
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once into the shared folder and go on from that copy.
 
     It cuts the lineage, so that a lost executor costs a re-read; it fixes the
     result of anything a retry could order differently; and it gives the planner
     real sizes, so that a join broadcasts a side only if it is small. The copy
-    stays until :func:`release` or the cluster's expiry of checkpoints.
+    stays until :func:`release` or the cluster's expiry of checkpoints. The shuffle
+    files of the write are not needed after it and do not wait for the driver's
+    garbage collection, else those of many steps lie beside one another.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
     copy = spark.read.schema(df.schema).parquet(path)
     copy._staged_path = path
     return copy

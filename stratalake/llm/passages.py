@@ -270,6 +270,7 @@ def repeated_anchors(docs: DataFrame, min_run_words: int = 25, min_line_words: i
     # Two anchors at each end: the earliest occurrence of the last one may be a shorter passage elsewhere.
     ends = [F.count("*").over(by_doc.rangeBetween(n, n)) == 0 for n in (-2, -1, 1, 2)]
     repeats = staged(repeats.withColumn("end", F.col("words").isNull() & (ends[0] | ends[1] | ends[2] | ends[3])), "repeats")
+    release(rows, first)
     wanted = repeats.filter("end").select("digest", "first").distinct()
     around = staged(_contexts(docs, wanted, min_run_words), "contexts")
     kept = repeats.select("doc_id", "doc_hash", "place", "words", F.col("first.doc_id").alias("first_doc_id"), F.when(F.col("end"), F.col("digest")).alias("digest"))
@@ -277,7 +278,7 @@ def repeated_anchors(docs: DataFrame, min_run_words: int = 25, min_line_words: i
     outer = kept.join(around, "digest")
     each = outer.unionByName(inner).groupBy("doc_id", "doc_hash").agg(F.sort_array(F.collect_set(F.struct("place", "words", "first_doc_id", "before", "after"))).alias("found"))
     result = staged(each, "found")
-    release(rows, first, repeats, around)
+    release(repeats, around)
     return result
 
 

@@ -1,7 +1,9 @@
 """The near-duplicate stage against the Jaccard similarity of all pairs."""
 
 import random
+import time
 from itertools import combinations
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
 from stratalake.llm import neardup  # noqa: E402
+from stratalake.llm.common import FREE_SHUFFLES, staged  # noqa: E402
 from stratalake.llm.simhash import fingerprint  # noqa: E402
 
 
@@ -123,3 +126,45 @@ def test_fingerprints_find_copies_without_bands(spark, monkeypatch):
 
 def test_no_rows(spark):
     assert neardup.keep_first(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_rows_of_a_table_that_is_read_again(spark, tmp_path):
+    """The same rows stay, also of equal rows and of null ids, and no copy of the texts stays beside the table."""
+    rng = random.Random(41)
+    rows = []
+    for i in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(30, 60))]
+        rows.append((i, " ".join(words), f"s{i % 3}", {"m": i}, 1))
+        if i % 4 == 0:  # a near copy, without an id or with one that comes twice
+            rows.append((rng.choice([None, i, 100 + i]), " ".join([*words[:-1], "end"]), "near", {"m": -i}, 2))
+    rows += rows[:20] + [rows[3]] * 5 + [(None, None, "s", None, 1), (None, "", "s", None, 1), (None, None, "s", None, 1), (7, rows[8][1], None, None, None)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, source string, extra map<string,long>, gone_id int").coalesce(1)
+    made.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    plain = lambda df: sorted(map(repr, df.collect()))
+    kept = neardup.keep_first(docs, reread=True)
+    assert kept.columns == docs.columns
+    assert plain(kept) == plain(neardup.keep_first(docs)) and 0 < kept.count() < len(set(map(repr, rows)))
+
+
+def test_copies_and_shuffles_go(spark, tmp_path):
+    """After the near-duplicate stage nothing as large as its texts is left, and a staged step leaves no shuffle files."""
+    rng = random.Random(43)
+    rows = [(i % 390, " ".join(f"{rng.getrandbits(64):x}" for _ in range(300)), "en", "s", 1) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "docs"))
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    size = lambda top: sum(p.stat().st_size for p in Path(top).rglob("*.parquet"))
+    before = size(shared)
+    kept = corpus_pipeline.near_dedup(spark, spark.read.parquet(str(tmp_path / "docs")), str(tmp_path))
+    assert size(shared) - before < size(tmp_path / "docs") / 4
+    assert kept.count() == 400
+
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {name for name in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+    there = held()
+    staged(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count(), "counted")
+    for _ in range(50):  # they go in the background
+        if held() <= there:
+            break
+        time.sleep(0.1)
+    assert held() <= there and spark.conf.get(FREE_SHUFFLES, None) is None
